@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from corpusvec.functions import rows, text
+from corpusvec.operators.shards import whole_division
 
 # One task may order this many buckets; more are grouped into parents first.
 LEVEL_BITS = 16
@@ -109,6 +110,38 @@ def positioned_words(docs: DataFrame, in_order: bool = False) -> DataFrame:
     )
 
 
+def positioned_lines(docs: DataFrame) -> DataFrame:
+    """Words with their line: ``(line_index, pos, word)``.
+
+    A document's words are numbered while they still sit in one row, tagged
+    with their line, so lines need no shuffle of their own.
+    """
+    lines = text.split_lines(F.col("text"))
+    tagged = F.flatten(
+        F.transform(
+            lines,
+            lambda line, i: F.transform(
+                text.space_words(line), lambda w: F.struct(i.alias("line_no"), w.alias("word"))
+            ),
+        )
+    )
+    sized = docs.withColumns(
+        {
+            "before": F.size(text.space_words(F.col("text"))).cast("bigint"),
+            "lines_before": F.size(lines).cast("bigint"),
+        }
+    )
+    return (
+        with_offsets(sized, "doc_id", ["before", "lines_before"])
+        .select("before", "lines_before", F.posexplode(tagged).alias("j", "w"))
+        .select(
+            (F.col("lines_before") + F.col("w.line_no")).alias("line_index"),
+            (F.col("before") + F.col("j")).alias("pos"),
+            F.col("w.word").alias("word"),
+        )
+    )
+
+
 def ordered_words(docs: DataFrame, in_order: bool = False) -> DataFrame:
     """Words reduced to letters: ``(pos, row_index, word)``.
 
@@ -161,5 +194,5 @@ def with_range_partition(words: DataFrame, partitions: int) -> DataFrame:
     """
     highest = max_position(words).scalar()
     width = F.greatest(F.ceil(highest / F.lit(partitions)), F.lit(1))
-    part = F.least(F.floor(F.col("pos") / width), F.lit(partitions - 1))
+    part = F.least(whole_division(F.col("pos"), width), F.lit(partitions - 1))
     return words.withColumn("part", part.cast("int"))
