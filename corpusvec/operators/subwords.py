@@ -46,8 +46,15 @@ def pieces_of(text: Column) -> Column:
 
 def piece_symbols(word_counts: DataFrame) -> DataFrame:
     """``(symbols, frequency)``: pieces of counted words as single bytes."""
+    spark = word_counts.sparkSession
+    # Rounds of replacing cost far more than their few bytes suggest, so ask
+    # for a number of partitions that is not merged down by size.
+    partitions = max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism
+    )
     return (
         word_counts.select(F.explode(pieces_of(F.col("word"))).alias("piece"), "frequency")
+        .repartition(partitions, "piece")
         .groupBy("piece")
         .agg(F.sum("frequency").alias("frequency"))
         .select(
@@ -58,15 +65,17 @@ def piece_symbols(word_counts: DataFrame) -> DataFrame:
 
 def pair_counts(symbols: DataFrame) -> DataFrame:
     """``(left, right, frequency)`` of adjacent symbols, weighted by piece."""
-    parts = F.split(F.regexp_replace("symbols", "^<|>$", ""), "><")
+    parts = F.split(F.btrim("symbols", F.lit("<>")), "><")
+    # A filter on the number of parts would be pushed below this and split
+    # every piece twice; a single part simply gives no pairs.
+    neighbours = F.greatest(F.size("parts") - 1, F.lit(0))
     return (
         symbols.select(parts.alias("parts"), "frequency")
-        .where(F.size("parts") > 1)
         .select(
             F.explode(
                 F.zip_with(
-                    F.slice("parts", F.lit(1), F.size("parts") - 1),
-                    F.slice("parts", F.lit(2), F.size("parts") - 1),
+                    F.slice("parts", F.lit(1), neighbours),
+                    F.slice("parts", F.lit(2), neighbours),
                     lambda a, b: F.struct(a.alias("left"), b.alias("right")),
                 )
             ).alias("pair"),
@@ -87,9 +96,10 @@ def learn_vocabulary(
     """Vocabulary of the 256 bytes and up to ``merges`` merged pairs.
 
     Each round counts pairs over the distinct pieces and takes the most
-    frequent ones that share no symbol, so that they do not change each
-    other's counts; ``merges_per_round=1`` is the textbook rule. Only those
-    few pairs reach the driver. Ties go to the smaller pair in byte order.
+    frequent ones that cannot overlap: two pairs do only where one's right
+    symbol is the other's left. Merging one of the others leaves their counts
+    as they are. ``merges_per_round=1`` is the textbook rule. Only those few
+    pairs reach the driver. Ties go to the smaller pair in byte order.
     """
     spark = word_counts.sparkSession
     state = materialize(piece_symbols(word_counts))
@@ -98,7 +108,7 @@ def learn_vocabulary(
     done = 0
     while done < merges:
         wanted = min(merges_per_round, merges - done)
-        # Pairs that share symbols with better ones are passed over, so look
+        # Pairs that may overlap better ones wait for a later round, so look
         # at a few more than wanted.
         best = (
             pair_counts(state)
@@ -106,12 +116,14 @@ def learn_vocabulary(
             .limit(4 * wanted)
             .collect()
         )
-        used: set[str] = set()
+        lefts: set[str] = set()
+        rights: set[str] = set()
         taken = 0
         for pair in best:
-            if taken == wanted or pair.left in used or pair.right in used:
+            if taken == wanted or pair.left in rights or pair.right in lefts:
                 continue
-            used |= {pair.left, pair.right}
+            lefts.add(pair.left)
+            rights.add(pair.right)
             taken += 1
             token = pair.left + pair.right
             if len(token) > 2:

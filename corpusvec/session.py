@@ -49,7 +49,7 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:
         return df
-    return df.repartition(cores * 4, key)
+    return df.repartition(cores * 2, key)
 
 
 _shipped: set[str] = set()
