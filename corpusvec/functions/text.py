@@ -48,10 +48,5 @@ def letters_only(word: Column) -> Column:
     return F.regexp_replace(word, "[^a-zA-Z]", "")
 
 
-def count_lettered_words(text: Column) -> Column:
-    """How many space-separated words hold at least one ASCII letter.
-
-    The look-behind pins each try to a word start and the possessive run
-    cannot backtrack, so a long word without letters costs linear time.
-    """
-    return F.regexp_count(text, F.lit(r"(?<!\S)[^\sa-zA-Z]*+[a-zA-Z]"))
+def has_letters(word: Column) -> Column:
+    return word.rlike("[a-zA-Z]")

@@ -149,24 +149,22 @@ def ordered_words(docs: DataFrame, in_order: bool = False) -> DataFrame:
     ``row_index`` numbers the kept rows without gaps. Both numbers come from
     one pass over the documents, so no word is ever shuffled on its own.
     """
-    words = F.transform(
-        text.space_words(F.col("text")),
-        lambda w, j: F.struct(j.alias("j"), text.letters_only(w).alias("word")),
-    )
-    kept = F.filter(words, lambda w: w["word"] != "")
+    words = text.space_words(F.col("text"))
     sized = docs.withColumns(
         {
-            "before": F.size(text.space_words(F.col("text"))).cast("bigint"),
-            "kept_before": text.count_lettered_words(F.col("text")).cast("bigint"),
+            "before": F.size(words).cast("bigint"),
+            "kept_before": F.size(F.filter(words, text.has_letters)).cast("bigint"),
         }
     )
+    slots = F.transform(words, lambda w, j: F.struct(j.alias("j"), w.alias("word")))
+    kept = F.filter(slots, lambda w: text.has_letters(w["word"]))
     return (
         with_offsets(sized, "doc_id", ["before", "kept_before"], in_order)
         .select("before", "kept_before", F.posexplode(kept).alias("k", "w"))
         .select(
             (F.col("before") + F.col("w.j")).alias("pos"),
             (F.col("kept_before") + F.col("k")).alias("row_index"),
-            F.col("w.word").alias("word"),
+            text.letters_only(F.col("w.word")).alias("word"),
         )
     )
 

@@ -141,10 +141,11 @@ def learn_vocabulary(
 
 def vocabulary_from(spark: SparkSession, merged: dict[str, int]) -> DataFrame:
     """The byte tokens and the given ``hex -> id`` entries as a table."""
-    entries = [(b, f"{b:02x}") for b in range(BYTE_TOKENS)]
-    entries += [(i, h) for h, i in merged.items()]
-    return spark.createDataFrame(entries, "token_id int, hex string").select(
-        "token_id", F.unhex("hex").alias("token_bytes")
+    tokens = [bytes([b]) for b in range(BYTE_TOKENS)] + [bytes.fromhex(h) for h in merged]
+    ids = [*range(BYTE_TOKENS), *merged.values()]
+    # From Arrow it becomes a local relation, whose size the planner knows.
+    return spark.createDataFrame(
+        pa.table({"token_id": pa.array(ids, pa.int32()), "token_bytes": pa.array(tokens, pa.binary())})
     )
 
 
