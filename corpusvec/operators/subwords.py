@@ -298,7 +298,7 @@ def encode_words_by_join(df: DataFrame, vocabulary: DataFrame, word: str = "word
 
 def _joined_neighbours(symbols: Column) -> Column:
     ahead = F.slice(symbols, F.lit(2), F.greatest(F.size(symbols) - 1, F.lit(0)))
-    return F.filter(F.zip_with(symbols, ahead, F.concat), lambda t: t.isNotNull())
+    return F.filter(F.zip_with(symbols, ahead, lambda a, b: F.concat(a, b)), lambda t: t.isNotNull())
 
 
 # --- decoding -------------------------------------------------------------
