@@ -13,8 +13,8 @@ from corpusvec.operators.shards import whole_division
 LEVEL_BITS = 16
 # Rows of one bucket are ordered by one task: 32 to 16384 keys.
 MIN_BUCKET_BITS, MAX_BUCKET_BITS = 5, 14
-# Bucket tables up to this size (about 32 bytes a row) are broadcast.
-BROADCAST_BITS = 21
+# Bucket tables of up to 2 ** (BROADCAST_BITS + 1) rows of about 32 bytes are broadcast.
+BROADCAST_BITS = 20
 
 
 def _bucket_offsets(buckets: DataFrame, names: list[str], bits: int) -> DataFrame:
@@ -149,6 +149,23 @@ def ordered_words(docs: DataFrame, in_order: bool = False) -> DataFrame:
     ``row_index`` numbers the kept rows without gaps. Both numbers come from
     one pass over the documents, so no word is ever shuffled on its own.
     """
+    slots = F.transform(
+        text.space_words(F.col("text")), lambda w, j: F.struct(j.alias("j"), w.alias("word"))
+    )
+    kept = F.filter(slots, lambda w: text.has_letters(w["word"]))
+    return (
+        _with_word_offsets(docs, in_order)
+        .select("before", "kept_before", F.posexplode(kept).alias("k", "w"))
+        .select(
+            (F.col("before") + F.col("w.j")).alias("pos"),
+            (F.col("kept_before") + F.col("k")).alias("row_index"),
+            text.letters_only(F.col("w.word")).alias("word"),
+        )
+    )
+
+
+def _with_word_offsets(docs: DataFrame, in_order: bool = False) -> DataFrame:
+    """Words and lettered words before each document, as ``before`` and ``kept_before``."""
     words = text.space_words(F.col("text"))
     sized = docs.withColumns(
         {
@@ -156,15 +173,37 @@ def ordered_words(docs: DataFrame, in_order: bool = False) -> DataFrame:
             "kept_before": F.size(F.filter(words, text.has_letters)).cast("bigint"),
         }
     )
-    slots = F.transform(words, lambda w, j: F.struct(j.alias("j"), w.alias("word")))
-    kept = F.filter(slots, lambda w: text.has_letters(w["word"]))
+    return with_offsets(sized, "doc_id", ["before", "kept_before"], in_order)
+
+
+def word_slices(docs: DataFrame, rows_per_shard: int) -> DataFrame:
+    """Ordered words cut by document and shard: ``(shard_id, row_index, words)``.
+
+    The rows of :func:`ordered_words`, kept as arrays: one row for the part of
+    a document that falls in a shard, ``row_index`` being its first word's.
+    What follows then moves a few arrays a document instead of a row a word.
+    """
+    words = F.filter(text.space_words(F.col("text")), text.has_letters)
+    lettered = (
+        _with_word_offsets(docs)
+        .select("kept_before", F.transform(words, text.letters_only).alias("words"))
+        .withColumn("last", F.col("kept_before") + F.size("words") - 1)
+    )
+    per_shard = F.lit(rows_per_shard)
+    shards = F.sequence(
+        whole_division(F.col("kept_before"), per_shard), whole_division(F.col("last"), per_shard)
+    )
+    first = F.greatest(F.col("shard_id") * rows_per_shard, F.col("kept_before"))
+    skipped = (first - F.col("kept_before")).cast("int")
+    room = (F.col("shard_id") + 1) * rows_per_shard - first
     return (
-        with_offsets(sized, "doc_id", ["before", "kept_before"], in_order)
-        .select("before", "kept_before", F.posexplode(kept).alias("k", "w"))
+        lettered.select(
+            "kept_before", "words",
+            F.explode(F.when(F.size("words") > 0, shards)).alias("shard_id"),
+        )
         .select(
-            (F.col("before") + F.col("w.j")).alias("pos"),
-            (F.col("kept_before") + F.col("k")).alias("row_index"),
-            text.letters_only(F.col("w.word")).alias("word"),
+            "shard_id", first.alias("row_index"),
+            F.slice("words", skipped + 1, room.cast("int")).alias("words"),
         )
     )
 

@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusvec.session import materialize
+from corpusvec.session import materialize, spread_work
 
 # Fixed value: the published pre-split pattern of the GPT-4 vocabulary.
 GPT4_PATTERN = (
@@ -46,15 +46,10 @@ def pieces_of(text: Column) -> Column:
 
 def piece_symbols(word_counts: DataFrame) -> DataFrame:
     """``(symbols, frequency)``: pieces of counted words as single bytes."""
-    spark = word_counts.sparkSession
-    # Rounds of replacing cost far more than their few bytes suggest, so ask
-    # for a number of partitions that is not merged down by size.
-    partitions = max(
-        int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism
-    )
+    pieces = word_counts.select(F.explode(pieces_of(F.col("word"))).alias("piece"), "frequency")
+    # The rounds of replacing that follow make these few bytes dear.
     return (
-        word_counts.select(F.explode(pieces_of(F.col("word"))).alias("piece"), "frequency")
-        .repartition(partitions, "piece")
+        spread_work(pieces, "piece")
         .groupBy("piece")
         .agg(F.sum("frequency").alias("frequency"))
         .select(
@@ -211,23 +206,15 @@ def _encode_batch(pieces: pa.ListArray, ranks: dict, memo: dict) -> pa.ListArray
     return pa.ListArray.from_arrays(ends, taken.flatten())
 
 
-def encode_words(
-    df: DataFrame, vocabulary: DataFrame, word: str = "word", one_piece: bool = False
-) -> DataFrame:
-    """Add ``token_ids ARRAY<INT>`` for a word column.
-
-    Rows are encoded where they are: only the pieces travel to Python, in
-    Arrow batches whose distinct pieces are encoded once, so neither a
-    shuffle nor a frequent word costs anything. ``one_piece`` skips the
-    pre-split for words known to be a single piece, such as pure letters.
-    """
+def _encoder(vocabulary: DataFrame):
+    """A function from an array of pieces to token ids, or None if too large."""
     entries = vocabulary.select("token_bytes", "token_id").limit(BROADCAST_TOKENS + 1).collect()
     if len(entries) > BROADCAST_TOKENS:
-        return encode_words_by_join(df, vocabulary, word)
+        return None
     ranks: dict[bytes, int] = {}
     for token_bytes, token_id in entries:
         ranks[bytes(token_bytes)] = min(token_id, ranks.get(bytes(token_bytes), token_id))
-    shared = df.sparkSession.sparkContext.broadcast(ranks)
+    shared = vocabulary.sparkSession.sparkContext.broadcast(ranks)
 
     @F.arrow_udf("array<int>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -235,10 +222,44 @@ def encode_words(
         for batch in batches:
             yield _encode_batch(batch, shared.value, memo)
 
+    return encode
+
+
+def encode_words(
+    df: DataFrame, vocabulary: DataFrame, word: str = "word", one_piece: bool = False
+) -> DataFrame:
+    """Add ``token_ids ARRAY<INT>`` for a word column.
+
+    Rows are encoded where they are: only the pieces travel to Python, in
+    Arrow batches whose distinct pieces are encoded once, so neither a
+    shuffle nor a frequent word costs anything. ``one_piece`` skips the
+    pre-split for words known to be a single piece, such as pure letters.
+    """
+    encode = _encoder(vocabulary)
+    if encode is None:
+        return encode_words_by_join(df, vocabulary, word)
     pieces = F.array(word) if one_piece else pieces_of(F.col(word))
     return df.withColumn("token_ids", encode(pieces))
 
 
+def encode_slices(df: DataFrame, vocabulary: DataFrame, words: str = "words") -> DataFrame:
+    """Replace an array of single-piece words by the tokens of all of them.
+
+    With a vocabulary too large to send, the words are encoded one a row and
+    put together again by ``(shard_id, row_index)``.
+    """
+    encode = _encoder(vocabulary)
+    if encode is not None:
+        return df.withColumn("token_ids", encode(F.col(words))).drop(words)
+    each = df.select("shard_id", "row_index", F.posexplode(words).alias("i", "word"))
+    parts = F.array_sort(F.collect_list(F.struct("i", "token_ids")))
+    return (
+        encode_words_by_join(each, vocabulary)
+        .groupBy("shard_id", "row_index")
+        .agg(F.flatten(parts["token_ids"]).alias("token_ids"))
+    )
+
+
 def encode_words_by_join(df: DataFrame, vocabulary: DataFrame, word: str = "word") -> DataFrame:
     """The same for a vocabulary too large to send to every task.
 

@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusvec.operators.positions import ordered_words
+from corpusvec.operators.positions import ordered_words, word_slices
 from corpusvec.operators.shards import fixed_shard
 from corpusvec.operators.similarity import similar_words
-from corpusvec.operators.subwords import decode_tokens, encode_words, learn_vocabulary
+from corpusvec.operators.subwords import (
+    decode_tokens,
+    encode_slices,
+    encode_words,
+    learn_vocabulary,
+)
 from corpusvec.operators.training import TrainingOptions, train_shards
 from corpusvec.operators.vectors import mean_vectors
 from corpusvec.operators.word_count import word_count
@@ -39,17 +44,36 @@ def shard_embeddings(
     return train_shards(shards, options)
 
 
+def merged_embeddings(trained: DataFrame, vocabulary: DataFrame, dim: int) -> DataFrame:
+    """``(token_id, word, embedding)``: per token the mean over all shards."""
+    merged = mean_vectors(trained, ["token_id"], dim)
+    return decode_tokens(merged, vocabulary).select("token_id", "word", "embedding")
+
+
 def token_embeddings(
     tokens: DataFrame,
     vocabulary: DataFrame,
     rows_per_shard: int = TOKEN_ROWS_PER_SHARD,
     options: TrainingOptions = TrainingOptions(),
 ) -> DataFrame:
-    """``(token_id, word, embedding)``: per token the mean over all shards."""
-    merged = mean_vectors(
-        shard_embeddings(tokens, rows_per_shard, options), ["token_id"], options.dim
-    )
-    return decode_tokens(merged, vocabulary).select("token_id", "word", "embedding")
+    """Embeddings from a table of ordered tokens."""
+    trained = shard_embeddings(tokens, rows_per_shard, options)
+    return merged_embeddings(trained, vocabulary, options.dim)
+
+
+def corpus_embeddings(
+    docs: DataFrame,
+    vocabulary: DataFrame,
+    rows_per_shard: int = TOKEN_ROWS_PER_SHARD,
+    options: TrainingOptions = TrainingOptions(),
+) -> DataFrame:
+    """The same embeddings straight from documents.
+
+    Nobody asks for the token table here, so documents are cut into one array
+    of words a shard and encoded as such; only those arrays are shuffled.
+    """
+    slices = encode_slices(word_slices(docs, rows_per_shard), vocabulary)
+    return merged_embeddings(train_shards(slices, options), vocabulary, options.dim)
 
 
 def word_vectors(embeddings: DataFrame, dim: int) -> DataFrame:
@@ -73,8 +97,7 @@ def corpus_similar_words(
     """
     if vocabulary is None:
         vocabulary = learn_vocabulary(word_count(docs), merges, merges_per_round)
-    tokens = ordered_tokens(docs, vocabulary)
-    embeddings = materialize(token_embeddings(tokens, vocabulary, rows_per_shard, options))
+    embeddings = materialize(corpus_embeddings(docs, vocabulary, rows_per_shard, options))
     return similar_words(word_vectors(embeddings, options.dim), n)
 
 

@@ -206,6 +206,15 @@ SELECT CAST(line_index // (SELECT n FROM size) AS INTEGER) AS shard_id, line_ind
     "tokens_of_indexes": f"WITH {DENSE} SELECT shard_id, row_index, word FROM dense",
     "token_windows": windows_sql("keep"),
     "full_token_windows": windows_sql("drop"),
+    "word_slices": f"""WITH {WORDS},
+kept AS (
+  SELECT doc_id, j, regexp_replace(word, '[^a-zA-Z]', '', 'g') AS word FROM words
+  WHERE regexp_matches(word, '[a-zA-Z]')),
+placed AS (
+  SELECT doc_id, word, row_number() OVER (ORDER BY doc_id, j) - 1 AS row_index FROM kept)
+SELECT row_index // {TOKEN_ROWS_PER_SHARD} AS shard_id, min(row_index) AS row_index,
+       CAST(count(*) AS INTEGER) AS n, string_agg(word, ' ' ORDER BY row_index) AS words
+FROM placed GROUP BY doc_id, row_index // {TOKEN_ROWS_PER_SHARD}""",
     "vector_mean": f"""
 SELECT label, CAST(i - 1 AS INTEGER) AS i, round(avg(CAST(embedding[i] AS DOUBLE)), 6) AS x
 FROM (SELECT label, embedding, unnest(range(1, {DIM} + 1)) AS i FROM embeddings) GROUP BY label, i""",

@@ -523,7 +523,16 @@ def token_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def token_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = corpus_vocabulary(spark, sf_dir)
-    return jobs.token_embeddings(jobs.ordered_tokens(documents(spark, sf_dir), known), known)
+    return jobs.corpus_embeddings(documents(spark, sf_dir), known)
+
+
+@query
+def word_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of a document by shard, one row for each part."""
+    slices = positions.word_slices(documents(spark, sf_dir), TOKEN_ROWS_PER_SHARD)
+    return slices.select(
+        "shard_id", "row_index", F.size("words").alias("n"), F.array_join("words", " ").alias("words")
+    )
 
 
 @query

@@ -52,6 +52,16 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(cores * 2, key)
 
 
+def spread_work(df: DataFrame, key: str) -> DataFrame:
+    """Hash rows by ``key`` for work that costs far more than its few bytes.
+
+    A number of partitions that is asked for is not merged down by size.
+    """
+    spark = df.sparkSession
+    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(wanted, 4 * spark.sparkContext.defaultParallelism), key)
+
+
 _shipped: set[str] = set()
 
 
