@@ -110,6 +110,17 @@ def positioned_words(docs: DataFrame, in_order: bool = False) -> DataFrame:
     )
 
 
+def positioned_words_of_lines(lines: DataFrame) -> DataFrame:
+    """``(line_index, pos, word)`` from numbered lines ``(line_index, line)``."""
+    words = text.space_words(F.col("line"))
+    sized = lines.withColumn("before", F.size(words).cast("bigint"))
+    return (
+        with_offsets(sized, "line_index", ["before"])
+        .select("line_index", "before", F.posexplode(words).alias("j", "word"))
+        .select("line_index", (F.col("before") + F.col("j")).alias("pos"), "word")
+    )
+
+
 def positioned_lines(docs: DataFrame) -> DataFrame:
     """Words with their line: ``(line_index, pos, word)``.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusvec.operators.positions import ordered_words, word_slices
+from corpusvec.operators.positions import ordered_words, with_row_index, word_slices
 from corpusvec.operators.shards import fixed_shard
 from corpusvec.operators.similarity import similar_words
 from corpusvec.operators.subwords import (
@@ -39,7 +39,12 @@ def shard_embeddings(
     rows_per_shard: int = TOKEN_ROWS_PER_SHARD,
     options: TrainingOptions = TrainingOptions(),
 ) -> DataFrame:
-    """Vectors of each shard's own model, before merging."""
+    """Vectors of each shard's own model, before merging.
+
+    Rows without a ``row_index`` are numbered by ``pos`` first.
+    """
+    if "row_index" not in tokens.columns:
+        tokens = with_row_index(tokens, "pos")
     shards = tokens.withColumn("shard_id", fixed_shard(F.col("row_index"), rows_per_shard))
     return train_shards(shards, options)
 

@@ -59,6 +59,12 @@ position_lines AS (
                     ELSE doc_id || '_a_' || word END AS value
   FROM words)"""
 
+LINE_WORDS = f"""WITH {LINES},
+line_words AS (
+  SELECT line_index, list_filter(string_split_regex(line, '{SPACE}+'), lambda w: w <> '') AS ws FROM numbered),
+each AS (SELECT line_index, ws, unnest(range(1, len(ws) + 1)) AS j FROM line_words)
+SELECT line_index, row_number() OVER (ORDER BY line_index, j) - 1 AS pos, ws[j] AS word FROM each"""
+
 CLEAN = rf"trim(regexp_replace(line, '[^\w\t\n\x0B\f\r ]', '', 'g'), {TRIMMED})"
 
 CLEAN_COUNTS = r"""
@@ -140,6 +146,8 @@ ORACLES: dict[str, str] = {
     "word_counts_raw": f"WITH {RAW_COUNTS} SELECT word, frequency FROM counts",
     "indexed_lines": f"WITH {LINES} SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, line_index, line FROM numbered",
     "positioned_words": f"WITH {WORDS} SELECT pos, word FROM positioned",
+    "positioned_words_of_lines": LINE_WORDS,
+    "positioned_lines": LINE_WORDS,
     "ordered_words": f"WITH {LETTERS} SELECT pos, row_index, word FROM ordered",
     "positioned_letters": f"WITH {LETTERS} SELECT pos, word FROM ordered",
     "row_index": f"WITH {LETTERS} SELECT pos, row_index FROM ordered",

@@ -109,6 +109,17 @@ def positioned_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return positions.positioned_words(documents(spark, sf_dir))
 
 
+@query
+def positioned_words_of_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    numbered = positions.indexed_lines(documents(spark, sf_dir)).select("line_index", "line")
+    return positions.positioned_words_of_lines(numbered)
+
+
+@query
+def positioned_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return positions.positioned_lines(documents(spark, sf_dir))
+
+
 @query
 def ordered_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return positions.ordered_words(documents(spark, sf_dir))

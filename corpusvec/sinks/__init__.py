@@ -2,6 +2,7 @@ from corpusvec.sinks.rows import (
     embedding_csv,
     ordered_token_csv,
     similar_words_yaml,
+    vocabulary_rows,
     word_count_csv,
     yaml_entry,
 )
@@ -11,6 +12,7 @@ __all__ = [
     "embedding_csv",
     "ordered_token_csv",
     "similar_words_yaml",
+    "vocabulary_rows",
     "word_count_csv",
     "write_numbered_shards",
     "write_shards",
