@@ -87,7 +87,7 @@ def test_round_trip(spark, tokens):
 def test_pieces(spark):
     df = spark.createDataFrame([("a_b12345__c it's",)], "t string")
     got = df.select(subwords.pieces_of(df.t).alias("p")).first().p
-    assert got == ["a", "_b", "123", "45", "_", "_c", " it", "'s"] or "".join(got) == "a_b12345__c it's"
+    assert got == ["a", "_b", "123", "45", "__", "c", " it", "'s"]
 
 
 def test_part_of_a_character_decodes_to_a_mark(spark):
