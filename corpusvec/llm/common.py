@@ -10,6 +10,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusvec.session import scratch_path
+
 #: ASCII white space between words; every other character belongs to a word.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -63,3 +65,13 @@ def fold(doc_id: Column, folds: int) -> Column:
 def tasks_for(spark: SparkSession, rows: int, each: int) -> int:
     """Tasks that hold at most about ``each`` rows, and at least the session's."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(rows / each))
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to the shared scratch folder and read it from there.
+
+    Cuts the lineage as a checkpoint does, in compressed columns.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -8,6 +8,7 @@ as a dictionary, so that no key of the join is hot; all others are joined.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Callable, Iterator
 
@@ -20,7 +21,7 @@ from corpusvec.llm.common import row_numbers, rows_of
 Split = Callable[[str], list]
 
 #: Most words that are sent to every task.
-HEAD = 1 << 17
+HEAD = 1 << 18
 #: Distinct words that a task counts before it hands them on.
 FLUSH = 1 << 19
 
@@ -67,14 +68,15 @@ def word_counts(docs: DataFrame, split: Split) -> DataFrame:
 
 
 def frequent_from(table: DataFrame, head: int = HEAD) -> int:
-    """The least count, a power of two, that at most ``head`` units reach."""
-    level = F.floor(F.log2(F.col("n"))).cast("int")
+    """The least count that at most ``head`` units reach, out of a geometric series."""
+    steps = 8
+    level = F.floor(F.log2(F.col("n").cast("double")) * steps).cast("int")
     sizes = {r["level"]: r["size"] for r in table.groupBy(level.alias("level")).agg(F.count("*").alias("size")).collect()}
     reached, least = 0, max(sizes, default=0) + 1
     while least > 0 and reached + sizes.get(least - 1, 0) <= head:
         least -= 1
         reached += sizes.get(least, 0)
-    return 1 << least
+    return math.ceil(2 ** (least / steps) - 1e-9)
 
 
 def document_sums(docs: DataFrame, split: Split, table: DataFrame, names: list[str]) -> DataFrame:

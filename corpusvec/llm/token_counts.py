@@ -9,9 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusvec.llm import tokens
-from corpusvec.llm.common import texts_of
+from corpusvec.llm.common import stored, texts_of
 from corpusvec.llm.lexicon import document_sums, word_counts
-from corpusvec.session import materialize
 
 
 def pre_tokens(text: str) -> list[bytes]:
@@ -47,6 +46,6 @@ def token_counts(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     """
     texts = texts_of(docs)
     counts = word_counts(texts.withColumn("train", F.lit(False)), pre_tokens)
-    table = materialize(with_piece_counts(counts, tokenizer_path))
+    table = stored(with_piece_counts(counts, tokenizer_path), "pre-tokens")
     sums = document_sums(texts, pre_tokens, table, ["n_tokens"])
     return sums.select("doc_id", "n_bytes", F.col("n_tokens").cast("long").alias("n_tokens"))
