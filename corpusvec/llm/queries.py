@@ -7,6 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusvec.llm.common import fold
+from corpusvec.llm.language import identify_language
+from corpusvec.llm.lattice import score_texts
 from corpusvec.llm.packing import pack_documents
 from corpusvec.llm.token_counts import token_counts
 from corpusvec.session import ship_package
@@ -26,6 +29,12 @@ def word_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def piece_vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def query(f: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_package(spark)
@@ -39,6 +48,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = score_texts(docs, fold(F.col("doc_id"), 10) != 0, piece_vocabulary())
+    return scored.withColumn("held_out", fold(F.col("doc_id"), 10) == 0)
+
+
 @query
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), word_tokenizer(), SEQUENCE)
@@ -48,3 +64,11 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts(table(spark, sf_dir, "documents"), word_tokenizer())
     return counted.withColumn("over_limit", F.col("n_tokens") > SEQUENCE)
+
+
+@query
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = identify_language(docs, docs.where(fold(F.col("doc_id"), 5) != 0))
+    held_out = (fold(F.col("doc_id"), 5) == 0).alias("held_out")
+    return found.select("doc_id", held_out, "lang_pred", "score")
