@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from corpusvec.llm.common import fold
 from corpusvec.llm.language import identify_language
 from corpusvec.llm.lattice import score_texts
+from corpusvec.llm.minhash import near_duplicates
 from corpusvec.llm.packing import pack_documents
 from corpusvec.llm.token_counts import token_counts
 from corpusvec.session import ship_package
@@ -60,6 +61,11 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), word_tokenizer(), SEQUENCE)
 
 
+@query
+def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), least=85)
+
+
 @query
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts(table(spark, sf_dir, "documents"), word_tokenizer())
