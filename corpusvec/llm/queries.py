@@ -12,6 +12,7 @@ from corpusvec.llm.language import identify_language
 from corpusvec.llm.lattice import score_texts
 from corpusvec.llm.minhash import near_duplicates
 from corpusvec.llm.packing import pack_documents
+from corpusvec.llm.pii import KINDS, find_personal_data, shown
 from corpusvec.llm.token_counts import token_counts
 from corpusvec.session import ship_package
 
@@ -49,6 +50,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op2_pii_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_personal_data(table(spark, sf_dir, "documents"))
+    counts = [
+        F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{kind}")
+        for k, kind in enumerate(KINDS[:4])
+    ]
+    every = F.array_sort(F.concat("base", "terms"))
+    return found.select(
+        "doc_id", *counts, F.sha2(shown(F.col("base")).cast("binary"), 256).alias("base_sha256"), shown(every).alias("spans")
+    )
+
+
 @query
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
