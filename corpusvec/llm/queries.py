@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusvec.llm.common import fold
+from corpusvec.llm.decontamination import find_contamination
 from corpusvec.llm.language import identify_language
 from corpusvec.llm.lattice import score_texts
 from corpusvec.llm.minhash import near_duplicates
@@ -86,6 +87,15 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > SEQUENCE)
 
 
+@query
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "item_ids", F.size("item_ids").cast("long").alias("n_items"), "best_overlap",
+        (F.size("item_ids") == 0).alias("kept"),
+    )
+
+
 @query
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
