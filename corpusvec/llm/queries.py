@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusvec.llm.common import fold
 from corpusvec.llm.decontamination import find_contamination
+from corpusvec.llm.html_text import extract_text
 from corpusvec.llm.language import identify_language
 from corpusvec.llm.lattice import score_texts
 from corpusvec.llm.minhash import near_duplicates
@@ -76,6 +77,11 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), word_tokenizer(), SEQUENCE)
 
 
+@query
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 @query
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), least=85)
