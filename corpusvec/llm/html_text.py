@@ -176,11 +176,12 @@ def main_text(events: list, templates: frozenset[int]) -> str:
 
     Template subtrees go, but for what holds half of the text or more: that is
     the article itself on pages that are copies of each other. Inside a marked
-    article paragraphs and headings are its own even if other pages have them.
+    article only boxes and lists can be template; its paragraphs, headings and
+    what stands in them are its own even if other pages have them.
     """
     marked = any(isinstance(e, Element) and e.name in ("article", "main") and e.size and not e.boilerplate(True) for e in events)
     root = max((e.size for e in events if isinstance(e, Element) and (e.name in ("article", "main") if marked else True)), default=0)
-    own = ("p", "h1", "h2", "h3", "h4", "h5", "h6", "article", "main", "blockquote", "pre", "html", "body")
+    boxes = ("div", "section", "ul", "ol", "dl", "table", "figure", "details", "center")
     blocks: list[str] = []
     inline: list[str] = []
     kept: list[bool] = []
@@ -210,7 +211,7 @@ def main_text(events: list, templates: frozenset[int]) -> str:
                 frame = e.name not in RAW and (e.holds or not marked and e.name not in ("nav", "header", "footer", "aside") and 2 * e.size >= root)
                 keep = frame or not e.boilerplate(articles > 0)
                 if keep and e.hash in templates and 2 * e.size < root:
-                    keep = marked and articles > 0 and e.name in own
+                    keep = marked and articles > 0 and e.name not in boxes
                 if e.name in BLOCK:
                     end_block()
             kept.append(keep)
