@@ -30,8 +30,8 @@ def encoded_pieces(docs: DataFrame, tokenizer_path: str, size: int) -> DataFrame
         memo = tokens.memo(tokenizer_path)
         for rows in rows_of(batches):
             out = []
-            for doc_id, text in rows:
-                ids = memo.ids(text) + b"\0\0\0\0"
+            for (doc_id, _), ids in zip(rows, memo.ids([text for _, text in rows]), strict=True):
+                ids += b"\0\0\0\0"
                 for piece, at in enumerate(range(0, len(ids), 4 * size)):
                     part = ids[at : at + 4 * size]
                     out.append((doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part)))

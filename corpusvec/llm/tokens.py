@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import functools
 import os
-from collections.abc import Iterable
+import re
+from itertools import pairwise
+
+import numpy as np
 
 #: Words whose ids a Python worker keeps before it starts anew.
-MEMO = 1 << 19
+MEMO = 1 << 20
 
 
 def spaced(text: str) -> list[str]:
@@ -27,25 +30,76 @@ def load(path: str):
     return Tokenizer.from_file(path)
 
 
-class Memo(dict):
-    """Ids of words as little-endian unsigned 32-bit numbers, computed once a worker."""
+def plain_tokenizer(path: str):
+    """The same model for pre-tokens in their normal form that spaces separate."""
+    from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.normalizer = normalizers.Sequence([])
+    tokenizer.pre_tokenizer = pre_tokenizers.Sequence(
+        [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+    )
+    return tokenizer
+
+
+#: Letters that lower case and normal form leave as one, then punctuation: two
+#: pre-tokens. Apostrophes are left out, since they can start a pre-token.
+SIMPLE = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*)([!-&(-/:-@\[-`{-~]*)")
+
+
+class Memo:
+    """Ids of words as little-endian unsigned 32-bit numbers, computed once a worker.
+
+    The tokenizer's own splitting is its dearest part. A word of plain letters
+    and closing punctuation is split here, and only its parts are looked up;
+    any other word goes through the whole tokenizer.
+    """
 
     def __init__(self, path: str) -> None:
-        self.tokenizer = load(path)
-
-    def learn(self, words: Iterable[str]) -> None:
-        if len(self) > MEMO:
-            self.clear()
-        new = [w for w in words if w not in self]
-        for start in range(0, len(new), 4096):
-            part = new[start : start + 4096]
-            for word, coded in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-                self[word] = b"".join(i.to_bytes(4, "little") for i in coded.ids)
-
-    def ids(self, text: str) -> bytes:
-        words = spaced(text)
-        self.learn(set(words))
-        return b"".join(map(self.__getitem__, words))
+        self.whole, self.plain = load(path), plain_tokenizer(path)
+        vocabulary = self.plain.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        for token, i in vocabulary.items():
+            self.ends[i] = token.endswith("</w>")
+        self.words: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+
+    def learn_parts(self, parts: set[str]) -> None:
+        new = sorted(parts.difference(self.parts))
+        for start in range(0, len(new), 512):
+            some = new[start : start + 512]
+            ids = np.array(self.plain.encode(" ".join(some), add_special_tokens=False).ids, dtype="<u4")
+            # The last token of each part says that it is the last.
+            cuts = [0, *(4 * (np.nonzero(self.ends[ids])[0] + 1)).tolist()]
+            raw = ids.tobytes()
+            self.parts.update(zip(some, (raw[i:j] for i, j in pairwise(cuts)), strict=True))
+
+    def learn(self, words: set[str]) -> None:
+        """Make sure that all of ``words`` are known."""
+        if len(self.words) > MEMO:
+            self.words.clear()
+        if len(self.parts) > MEMO:
+            self.parts.clear()
+            self.parts[""] = b""
+        new = words.difference(self.words)
+        found = [(w, m[1].lower(), m[2]) for w in new if (m := SIMPLE.fullmatch(w))]
+        self.learn_parts({p for _, *both in found for p in both} - {""})
+        self.parts[""] = b""
+        parts = self.parts
+        self.words.update((w, parts[a] + parts[b]) for w, a, b in found)
+        if len(found) < len(new):
+            others = sorted(new.difference(self.words))
+            for start in range(0, len(others), 4096):
+                some = others[start : start + 4096]
+                coded = self.whole.encode_batch(some, add_special_tokens=False)
+                self.words.update((w, np.array(c.ids, dtype="<u4").tobytes()) for w, c in zip(some, coded, strict=True))
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        split = [spaced(t) for t in texts]
+        self.learn(set().union(*split))
+        get = self.words.__getitem__
+        return [b"".join(map(get, words)) for words in split]
 
 
 @functools.lru_cache(maxsize=2)
