@@ -16,6 +16,7 @@ from corpusvec.llm.minhash import near_duplicates
 from corpusvec.llm.packing import pack_documents
 from corpusvec.llm.pii import KINDS, find_personal_data, shown
 from corpusvec.llm.token_counts import token_counts
+from corpusvec.llm.vectors import near_vectors
 from corpusvec.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +53,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"), least=0.98)
+
+
 @query
 def op2_pii_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_personal_data(table(spark, sf_dir, "documents"))
