@@ -16,6 +16,10 @@ from corpusvec.session import scratch_path
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Stands for a null id where ids are join keys.
+NO_ID = -(1 << 63)
+
+
 def texts_of(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Only the key and the text (null: empty), whatever else the table holds."""
     return docs.select(
@@ -33,20 +37,29 @@ def words_of(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split()
 
 
-def rows_of(
-    batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = 1 << 23
-) -> Iterator[list[tuple]]:
-    """The rows of Arrow batches as tuples, in lists of about ``limit`` bytes of text.
+def slices_of(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = 1 << 23) -> Iterator[pa.RecordBatch]:
+    """Arrow batches cut to about ``limit`` bytes of text.
 
-    A list holds one row at least, so a very long text comes alone.
+    A slice holds one row at least, so a very long text comes alone.
     """
     for batch in batches:
-        at = batch.schema.get_field_index(text)
-        size = max(1, batch.column(at).nbytes)
+        size = max(1, batch.column(batch.schema.get_field_index(text)).nbytes)
         step = max(1, batch.num_rows * limit // size)
         for start in range(0, batch.num_rows, step):
-            part = batch.slice(start, step)
-            yield list(zip(*(column.to_pylist() for column in part.columns), strict=True))
+            yield batch.slice(start, step)
+
+
+def rows_of(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = 1 << 23) -> Iterator[list[tuple]]:
+    """The rows of Arrow batches as tuples, a list for each slice."""
+    for part in slices_of(batches, text, limit):
+        yield list(zip(*(column.to_pylist() for column in part.columns), strict=True))
+
+
+def appended(docs: DataFrame, columns: dict[str, str]) -> tuple[DataFrame, str]:
+    """``docs`` without columns of the names to come, and the schema with them, as DDL."""
+    own = docs.drop(*columns)
+    added = ", ".join(f"{name} {kind}" for name, kind in columns.items())
+    return own, f"{own.schema.toDDL()}, {added}"
 
 
 def row_numbers() -> Iterator[int]:

@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusvec.llm.common import stored, texts_of
+from corpusvec.llm.common import NO_ID, stored, texts_of
+from corpusvec.llm.membership import split_by
 
 #: The kinds in the order of their numbers.
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -186,8 +187,8 @@ def find_personal_data(docs: DataFrame, share: float = 0.8, support: int = 2) ->
     Null and empty texts have no spans. Rows with equal id and text count as
     one document and each get its spans; an empty table gives none.
     """
-    texts = texts_of(docs)
-    found = texts.select("doc_id", F.xxhash64("text").alias("text_hash"), "text", protected_spans(F.col("text")).alias("base"))
+    texts = texts_of(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID))).withColumn("text_hash", F.xxhash64("text"))
+    found = texts.select("doc_id", "text_hash", "text", protected_spans(F.col("text")).alias("base"))
 
     def context(span: Column) -> Column:
         near = terms_near(F.col("text"), span["start"], span["end"])
@@ -215,7 +216,7 @@ def find_personal_data(docs: DataFrame, share: float = 0.8, support: int = 2) ->
     )
     nothing = F.array().cast("array<struct<start:int,kind:int,end:int,value:string>>")
     return found.join(marked, ["doc_id", "text_hash"], "left").select(
-        "doc_id", "text_hash", "base", F.coalesce("terms", nothing).alias("terms")
+        F.nullif("doc_id", F.lit(NO_ID)).alias("doc_id"), "text_hash", "base", F.coalesce("terms", nothing).alias("terms")
     )
 
 
@@ -239,3 +240,21 @@ def sanitised(text: Column, found: Column) -> Column:
     )
     rest = F.substring(text, state["at"] + 1, F.char_length(text))
     return F.when(F.size(found) == 0, text).otherwise(F.concat(F.array_join(state["parts"], ""), rest))
+
+
+def sanitise(docs: DataFrame, **options: float) -> DataFrame:
+    """``docs`` with every span of personal data and every telling term generalised.
+
+    A null text stays null.
+    """
+    found = find_personal_data(docs, **options).dropDuplicates(["doc_id", "text_hash"])
+    spans = found.where(F.size("base") + F.size("terms") > 0).select(
+        F.coalesce("doc_id", F.lit(NO_ID)).alias("_id"), F.col("text_hash").alias("_hash"), F.concat("base", "terms").alias("_spans")
+    )
+    spans = stored(spans, "spans")
+    keyed = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)))
+    few, clean = split_by(keyed, spans.select("_id"), "_id")
+    few = few.withColumn("_hash", F.xxhash64(F.coalesce("text", F.lit("")))).join(spans, ["_id", "_hash"], "left")
+    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(sanitised(F.col("text"), F.col("_spans")))
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    return few.withColumn("text", text).select(*own).unionByName(clean.select(*own))

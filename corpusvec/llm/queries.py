@@ -15,6 +15,7 @@ from corpusvec.llm.lattice import score_texts
 from corpusvec.llm.minhash import near_duplicates
 from corpusvec.llm.packing import pack_documents
 from corpusvec.llm.pii import KINDS, find_personal_data, shown
+from corpusvec.llm.repeats import remove_repeats
 from corpusvec.llm.token_counts import token_counts
 from corpusvec.llm.vectors import near_vectors
 from corpusvec.session import ship_package
@@ -99,6 +100,16 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > SEQUENCE)
 
 
+@query
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = remove_repeats(table(spark, sf_dir, "documents"), span=400, keep_first=False)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return cleaned.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

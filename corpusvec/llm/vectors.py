@@ -218,7 +218,8 @@ def near_vectors(vectors: DataFrame, least: float = 0.98, shape: Subspaces = Sub
     valid = rows.where("digest is not null")
     classes = stored(
         valid.groupBy("label", "digest")
-        .agg(F.min("vec_id").alias("id"), F.count("*").alias("size"), F.first("unit").alias("unit")),
+        .agg(F.min("vec_id").alias("id"), F.count("*").alias("size"), F.first("unit").alias("unit"))
+        .where("id is not null"),
         "classes",
     )
     pairs = candidates(stored(in_blocks(classes, least, shape), "blocks"), shape)
@@ -240,5 +241,5 @@ def near_vectors(vectors: DataFrame, least: float = 0.98, shape: Subspaces = Sub
     component = F.coalesce("component_id", "vec_id")
     return out.select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        component.alias("component_id"), (F.col("vec_id") == component).alias("kept"),
+        component.alias("component_id"), F.coalesce(F.col("vec_id") == component, component.isNull()).alias("kept"),
     )
