@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusvec.llm.common import rows_of, texts_of
+from corpusvec.llm.common import appended, slices_of, texts_of
 
 #: Items, and bytes of their text, that one index holds; more items make more indexes.
 INDEX_ITEMS, INDEX_BYTES = 1 << 16, 1 << 25
@@ -212,22 +212,24 @@ class Index:
         return out
 
 
-def find_contamination(
+def with_contamination(
     docs: DataFrame, benchmark: DataFrame, least: float = 0.6, overlap: float = 0.8
 ) -> DataFrame:
-    """``doc_id, item_ids, best_overlap`` of every row of ``docs``.
+    """``docs`` with ``item_ids`` and ``best_overlap``, which take the place of columns so named.
 
     Every passage of every document asks the index of benchmark items for all
     items of which it holds ``least`` of the item's own BM25 score or more; an
     item is confirmed if the passage holds ``overlap`` of its runs of five
     words, and half of those of its question and of its answer. Items have
     columns ``question`` and ``answer``, or only ``text``, of which the first
-    half of the runs is the question. ``item_ids`` is sorted.
-
-    An index is sent to all tasks and holds at most `INDEX_ITEMS` items and
-    about `INDEX_BYTES` of text; a larger benchmark makes several, each of which
-    sees all documents. Items without words match nothing. Null and empty
-    texts have no matches; rows with equal ids each get a row.
+    half of the runs is the question. ``item_ids`` is sorted and empty for a
+    clean document, whose ``best_overlap`` is 0.
+
+    An index is sent to all tasks and holds at most about `INDEX_ITEMS` items
+    and `INDEX_BYTES` of text; a larger benchmark makes several, each of which
+    sees all documents in turn. Items without words match nothing. Null and
+    empty texts have no matches; rows with equal ids each get a row; an empty
+    table gives none.
     """
     spark = docs.sparkSession
     if {"question", "answer"} <= set(benchmark.columns):
@@ -237,34 +239,32 @@ def find_contamination(
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), asked.alias("question"), told.alias("answer")).where("item_id is not null")
     size = items.agg(F.count("*").alias("n"), F.sum(F.octet_length("question") + F.octet_length("answer")).alias("bytes")).first()
     indexes = max(1, math.ceil(size["n"] / INDEX_ITEMS), math.ceil((size["bytes"] or 0) / INDEX_BYTES))
-    texts = texts_of(docs)
-    parts = []
+    own, schema = appended(docs, {"item_ids": "array<long>", "best_overlap": "double"})
+    found = own.withColumn("item_ids", F.array().cast("array<long>")).withColumn("best_overlap", F.lit(0.0))
     for k in range(indexes):
         part = items.where(F.pmod(F.xxhash64("item_id"), F.lit(indexes)) == k).orderBy("item_id", "question", "answer")
         sent = spark.sparkContext.broadcast([tuple(r) for r in part.collect()])
-        parts.append(texts.mapInArrow(matcher(sent, least, overlap), "doc_id long, item_ids array<long>, best_overlap double"))
-    if indexes == 1:
-        return parts[0]
-    every = parts[0]
-    for part in parts[1:]:
-        every = every.unionByName(part)
-    return every.groupBy("doc_id").agg(
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"), F.max("best_overlap").alias("best_overlap")
-    )
+        found = found.mapInArrow(matcher(sent, least, overlap), schema)
+    return found
 
 
 def matcher(sent, least: float, overlap: float):
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = Index([Item(*row) for row in sent.value])
-        for rows in rows_of(batches):
-            found = index.matches([words_of(text) for _, text in rows], least, overlap)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([doc_id for doc_id, _ in rows], pa.int64()),
-                    pa.array([sorted(f) for f in found], pa.list_(pa.int64())),
-                    pa.array([max(f.values(), default=0.0) for f in found], pa.float64()),
-                ],
-                names=["doc_id", "item_ids", "best_overlap"],
-            )
+        for part in slices_of(batches):
+            found = index.matches([words_of(t or "") for t in part.column("text").to_pylist()], least, overlap)
+            before = zip(part.column("item_ids").to_pylist(), part.column("best_overlap").to_pylist(), strict=True)
+            ids, best = [], []
+            for own, (known, most) in zip(found, before, strict=True):
+                ids.append(sorted({*own, *known}))
+                best.append(max([most, *own.values()]))
+            columns = dict(zip(part.schema.names, part.columns, strict=True))
+            columns |= {"item_ids": pa.array(ids, pa.list_(pa.int64())), "best_overlap": pa.array(best, pa.float64())}
+            yield pa.RecordBatch.from_pydict(columns)
 
     return match
+
+
+def find_contamination(docs: DataFrame, benchmark: DataFrame, **options: float) -> DataFrame:
+    """Only ``doc_id, item_ids, best_overlap`` of `with_contamination`."""
+    return with_contamination(texts_of(docs), benchmark, **options).drop("text")

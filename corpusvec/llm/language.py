@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusvec.llm.common import rows_of, texts_of
+from corpusvec.llm.common import appended, slices_of, texts_of
 
 UNKNOWN = "und"
 #: A phrase ends at the latest with its block of so many symbols:
@@ -174,10 +174,10 @@ def labelled_samples(labelled: DataFrame, rows: int, chars: int) -> dict[str, st
     return {lang: "\n".join(parts)[:share] for lang, parts in texts.items() if parts}
 
 
-def identify_language(
+def with_language(
     docs: DataFrame, labelled: DataFrame, sample_rows: int = 128, sample_chars: int = 1 << 17
 ) -> DataFrame:
-    """``doc_id, lang_pred, score`` of every row of ``docs``.
+    """``docs`` with ``lang_pred`` and ``score``, which take the place of columns so named.
 
     ``labelled`` holds ``doc_id, text, lang``; rows without text or language
     are passed over. From it comes a sample of about ``sample_rows`` documents
@@ -189,25 +189,29 @@ def identify_language(
     over the sum of both: 0.5 for a tie, 1 without a second.
 
     A null or empty text, or one without a letter, is ``und`` with score 0, as
-    is every text if nothing is labelled. Rows with equal ids each get a row.
+    is every text if nothing is labelled. Rows with equal ids each get a row;
+    an empty table gives none.
     """
     known = labelled.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), F.col("lang")
     ).where("text is not null and lang is not null")
     samples = tuple(sorted(labelled_samples(known, sample_rows, sample_chars).items()))
     sent = docs.sparkSession.sparkContext.broadcast(samples)
+    own, schema = appended(docs, {"lang_pred": "string", "score": "double"})
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = languages(sent.value) if sent.value else None
-        for rows in rows_of(batches):
-            found = model.predict([t for _, t in rows]) if model else [(UNKNOWN, 0.0)] * len(rows)
+        for part in slices_of(batches):
+            texts = [t or "" for t in part.column("text").to_pylist()]
+            found = model.predict(texts) if model else [(UNKNOWN, 0.0)] * len(texts)
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([i for i, _ in rows], pa.int64()),
-                    pa.array([lang for lang, _ in found], pa.string()),
-                    pa.array([score for _, score in found], pa.float64()),
-                ],
-                names=["doc_id", "lang_pred", "score"],
+                [*part.columns, pa.array([lang for lang, _ in found], pa.string()), pa.array([score for _, score in found], pa.float64())],
+                names=[*part.schema.names, "lang_pred", "score"],
             )
 
-    return texts_of(docs).mapInArrow(predict, "doc_id long, lang_pred string, score double")
+    return own.mapInArrow(predict, schema)
+
+
+def identify_language(docs: DataFrame, labelled: DataFrame, **options: int) -> DataFrame:
+    """Only ``doc_id, lang_pred, score`` of `with_language`."""
+    return with_language(texts_of(docs), labelled, **options).select("doc_id", "lang_pred", "score")
