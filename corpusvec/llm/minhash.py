@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from corpusvec.llm.common import rows_of, stored, texts_of
 from corpusvec.llm.components import components
+from corpusvec.llm.membership import split_by
 from corpusvec.llm.shingles import shingle_set
 
 
@@ -193,18 +194,21 @@ def near_duplicates(docs: DataFrame, least: int = 85, forest: Forest = Forest())
 
     Null, empty and wordless texts have no shingles and are alone. Rows that
     repeat an id are told apart by nothing else: all of them carry the id's
-    component. An empty table gives none.
+    component. A row without an id is in the class of its set and kept only if
+    no row with an id is. An empty table gives none.
     """
     texts = texts_of(docs)
     sketched = stored(sketches(texts, forest), "sketches")
     reps = (
         sketched.where("set_id is not null").groupBy("set_id")
         .agg(F.min("doc_id").alias("doc_id"), F.first("signature").alias("signature"))
+        .where("doc_id is not null")
     )
     rows = sketched.count()
     pairs = stored(candidates(reps.select("doc_id", "signature"), forest, rows), "candidates")
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    wanted = stored(texts.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
+    ids = stored(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "ids")
+    few, _ = split_by(texts, ids)
+    wanted = stored(few.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
     # First the next neighbours in a few orders, which join what is crowded,
     # then every pair that is still apart.
     first = stored(confirmed(pairs.where(F.col("order") < 3), wanted, least), "links")
@@ -222,4 +226,4 @@ def near_duplicates(docs: DataFrame, least: int = 85, forest: Forest = Forest())
     )
     found = sketched.drop("signature").join(class_of, "set_id", "left")
     component = F.coalesce("component_id", "doc_id")
-    return found.select("doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
+    return found.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"))
