@@ -169,7 +169,7 @@ def labelled_samples(labelled: DataFrame, rows: int, chars: int) -> dict[str, st
     spread = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / float(1 << 20)
     chosen = labelled.where(spread < rate).select("doc_id", "lang", F.substring("text", 1, each).alias("text"))
     texts: dict[str, list[str]] = {lang: [] for lang in counts}
-    for r in sorted(chosen.collect(), key=lambda r: (r["doc_id"], r["text"])):
+    for r in sorted(chosen.collect(), key=lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["text"])):
         texts[r["lang"]].append(r["text"])
     return {lang: "\n".join(parts)[:share] for lang, parts in texts.items() if parts}
 
