@@ -8,6 +8,7 @@ frequencies. Its size is a parameter, never a function of the data.
 from __future__ import annotations
 
 import heapq
+from collections import ChainMap
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -31,6 +32,9 @@ MEMO_PIECES = 1 << 18
 
 BYTE_TOKENS = 256
 
+# Two symbols side by side, in hex.
+Pair = tuple[str, str]
+
 
 def pieces_of(text: Column) -> Column:
     """Pieces that sub-words never cross, in order; joined they give the text."""
@@ -47,14 +51,11 @@ def pieces_of(text: Column) -> Column:
 def piece_symbols(word_counts: DataFrame) -> DataFrame:
     """``(symbols, frequency)``: pieces of counted words as single bytes."""
     pieces = word_counts.select(F.explode(pieces_of(F.col("word"))).alias("piece"), "frequency")
-    # The rounds of replacing that follow make these few bytes dear.
-    return (
-        spread_work(pieces, "piece")
-        .groupBy("piece")
-        .agg(F.sum("frequency").alias("frequency"))
-        .select(
-            F.regexp_replace(F.lower(F.hex("piece")), "(..)", "<$1>").alias("symbols"), "frequency"
-        )
+    # Summed in each task first; then spread, as the rounds of replacing that
+    # follow make these few bytes dear.
+    counted = pieces.groupBy("piece").agg(F.sum("frequency").alias("frequency"))
+    return spread_work(counted, "piece").select(
+        F.regexp_replace(F.lower(F.hex("piece")), "(..)", "<$1>").alias("symbols"), "frequency"
     )
 
 
@@ -85,53 +86,91 @@ def merge_pair(symbols: Column, left: str, right: str) -> Column:
     return F.replace(symbols, F.lit(f"<{left}><{right}>"), F.lit(f"<{left}{right}>"))
 
 
+def pair_changes(symbols: DataFrame, merges: list[Pair]) -> list[dict[Pair, int]]:
+    """How the pair counts change with each of ``merges`` in turn.
+
+    One pass over the pieces that hold any of them; a task sums its changes
+    before they move, so what reaches the driver grows with the vocabulary.
+    """
+    steps = [(f"<{a}><{b}>", f"<{a}{b}>") for a, b in merges]
+
+    def change(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[tuple[int, str, str], int] = {}
+        for batch in batches:
+            for text, frequency in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for step, (old, new) in enumerate(steps):
+                    if old not in text:
+                        continue
+                    merged = text.replace(old, new)
+                    for sign, state in ((-frequency, text), (frequency, merged)):
+                        parts = state[1:-1].split("><")
+                        for left, right in zip(parts, parts[1:]):
+                            key = (step, left, right)
+                            found[key] = found.get(key, 0) + sign
+                    text = merged
+        rows = [(*key, n) for key, n in found.items() if n]
+        step, left, right, n = zip(*rows) if rows else ((), (), (), ())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(step, pa.int32()), pa.array(left, pa.string()), pa.array(right, pa.string()), pa.array(n, pa.int64())],
+            names=["step", "left", "right", "n"],
+        )
+
+    changed = symbols.select("symbols", "frequency").mapInArrow(change, "step int, left string, right string, n long")
+    out: list[dict[Pair, int]] = [{} for _ in merges]
+    for r in changed.groupBy("step", "left", "right").agg(F.sum("n").alias("n")).where("n <> 0").collect():
+        out[r["step"]][r["left"], r["right"]] = r["n"]
+    return out
+
+
 def learn_vocabulary(
-    word_counts: DataFrame, merges: int, merges_per_round: int = 1
+    word_counts: DataFrame, merges: int, merges_per_round: int = 32
 ) -> DataFrame:
     """Vocabulary of the 256 bytes and up to ``merges`` merged pairs.
 
-    Each round counts pairs over the distinct pieces and takes the most
-    frequent ones that cannot overlap: two pairs do only where one's right
-    symbol is the other's left. Merging one of the others leaves their counts
-    as they are. ``merges_per_round=1`` is the textbook rule. Only those few
-    pairs reach the driver. Ties go to the smaller pair in byte order.
+    The rule is the textbook one: merge the most frequent pair, ties to the
+    smaller in byte order, count again. Pairs are counted once; after that a
+    round guesses the next merges, ``merges_per_round`` at most, asks in one
+    pass for the exact change of all counts with each of them, and keeps
+    merges as long as each was indeed the best of the counts at its turn. The
+    number of guesses changes how many rounds there are, never the result.
+
+    The driver holds the pieces' pair counts, whose number is bounded by the
+    square of the vocabulary's size, which is a parameter.
     """
-    spark = word_counts.sparkSession
     state = materialize(piece_symbols(word_counts))
+    counts: dict[Pair, int] = {(r["left"], r["right"]): r["frequency"] for r in pair_counts(state).collect()}
+
+    def order(pair: Pair) -> tuple[int, str, str]:
+        return -counts[pair], *pair
+
     found: dict[str, int] = {}
-    rounds_on_plan = 0
-    done = 0
-    while done < merges:
-        wanted = min(merges_per_round, merges - done)
-        # Pairs that may overlap better ones wait for a later round, so look
-        # at a few more than wanted.
-        best = (
-            pair_counts(state)
-            .orderBy(F.desc("frequency"), "left", "right")
-            .limit(4 * wanted)
-            .collect()
-        )
-        lefts: set[str] = set()
-        rights: set[str] = set()
-        taken = 0
-        for pair in best:
-            if taken == wanted or pair.left in rights or pair.right in lefts:
-                continue
-            lefts.add(pair.left)
-            rights.add(pair.right)
-            taken += 1
-            token = pair.left + pair.right
-            if len(token) > 2:
-                found.setdefault(token, BYTE_TOKENS + len(found))
-            state = state.withColumn("symbols", merge_pair(F.col("symbols"), pair.left, pair.right))
-        if not taken:
-            break
-        done += taken
-        rounds_on_plan += taken
-        if rounds_on_plan >= 64 and done < merges:
+    done = on_plan = 0
+    while done < merges and counts:
+        # A pair that overlaps a better one loses by its merge and waits.
+        guesses: list[Pair] = []
+        lefts, rights = set(), set()
+        for pair in heapq.nsmallest(8 * merges_per_round, counts, key=order):
+            if len(guesses) < min(merges_per_round, merges - done) and pair[0] not in rights and pair[1] not in lefts:
+                guesses.append(pair)
+                lefts.add(pair[0])
+                rights.add(pair[1])
+        for pair, changes in zip(guesses, pair_changes(state, guesses)):
+            if min(counts, key=order) != pair:
+                break
+            for other, n in changes.items():
+                counts[other] = counts.get(other, 0) + n
+                if not counts[other]:
+                    del counts[other]
+            token = "".join(pair)
+            found.setdefault(token, BYTE_TOKENS + len(found))
+            state = state.withColumn("symbols", merge_pair(F.col("symbols"), *pair))
+            done, on_plan = done + 1, on_plan + 1
+            if not counts:
+                break
+        if on_plan >= 32 and done < merges:
             # Keep the chain of replaces, and what a lost task redoes, short.
-            state, rounds_on_plan = materialize(state), 0
-    return vocabulary_from(spark, found)
+            state, on_plan = materialize(state), 0
+    return vocabulary_from(word_counts.sparkSession, found)
 
 
 def vocabulary_from(spark: SparkSession, merged: dict[str, int]) -> DataFrame:
@@ -263,63 +302,59 @@ def encode_slices(df: DataFrame, vocabulary: DataFrame, words: str = "words") ->
 def encode_words_by_join(df: DataFrame, vocabulary: DataFrame, word: str = "word") -> DataFrame:
     """The same for a vocabulary too large to send to every task.
 
-    Each distinct word is encoded once and joined back. A round joins all
-    adjacent symbols with the vocabulary and merges, in every word, the
-    leftmost pair of lowest rank; words without such a pair are finished.
+    A piece needs only those tokens that it holds: its distinct substrings are
+    joined with the vocabulary, and it is merged with what they find by the
+    same code. Tokens of one or two bytes, which most pieces share and of which
+    there are at most 65,792, are sent. Each distinct piece is encoded once.
     """
-    ranks = vocabulary.groupBy(F.hex("token_bytes").alias("token")).agg(
-        F.min("token_id").alias("rank")
-    )
-    pieces = (
-        df.select(word).distinct()
-        .select(word, F.posexplode(pieces_of(F.col(word))).alias("p", "piece"))
+    spark = df.sparkSession
+    tokens = vocabulary.groupBy("token_bytes").agg(F.min("token_id").alias("token_id"))
+    size = F.octet_length("token_bytes")
+    longest = tokens.agg(F.max(size)).first()[0] or 0
+    short = spark.sparkContext.broadcast(
+        {bytes(r["token_bytes"]): r["token_id"] for r in tokens.where(size <= 2).collect()}
     )
-    active = materialize(
-        pieces.select(
-            word, "p",
-            F.regexp_extract_all(F.hex("piece"), F.lit("(..)"), F.lit(1)).alias("symbols"),
-            F.hex("piece").alias("whole"),
-        )
-        # A piece that is a token itself needs no merging.
-        .join(ranks.select(F.col("token").alias("whole"), "rank"), "whole", "left")
-        .select(
-            word, "p",
-            F.when(F.col("rank").isNotNull(), F.array("whole")).otherwise(F.col("symbols")).alias("symbols"),
-        )
+    words = df.select(F.col(word).alias("_word")).where(F.col(word).isNotNull()).distinct()
+    parts = materialize(words.select("_word", F.posexplode(pieces_of(F.col("_word"))).alias("p", "piece")))
+    pieces = parts.select(F.col("piece").cast("binary").alias("piece")).distinct()
+
+    def substrings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in batch.column(0).to_pylist():
+                n = len(piece)
+                held = {piece[i:j] for i in range(n) for j in range(i + 3, min(n, i + longest) + 1)}
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([piece] * len(held), pa.binary()), pa.array(held, pa.binary())], names=["piece", "token_bytes"]
+                )
+
+    known = (
+        pieces.mapInArrow(substrings, "piece binary, token_bytes binary")
+        .join(tokens.where(size > 2), "token_bytes")
+        .groupBy("piece")
+        .agg(F.collect_list(F.struct("token_bytes", "token_id")).alias("known"))
     )
-    finished = None
-    while True:
-        best = (
-            active.select(word, "p", F.posexplode(_joined_neighbours(F.col("symbols"))).alias("i", "token"))
-            .join(ranks, "token")
-            .groupBy(word, "p")
-            .agg(F.min(F.struct("rank", "i"))["i"].alias("i"))
-        )
-        step = materialize(active.join(best, [word, "p"], "left"))
-        still = step.where(F.col("i").isNull()).drop("i")
-        finished = still if finished is None else finished.unionByName(still)
-        active = step.where(F.col("i").isNotNull()).select(
-            word, "p",
-            F.concat(
-                F.slice("symbols", F.lit(1), F.col("i")),
-                F.array(F.concat(F.get("symbols", F.col("i")), F.get("symbols", F.col("i") + 1))),
-                F.slice("symbols", F.col("i") + 3, F.size("symbols")),
-            ).alias("symbols"),
-        )
-        if active.isEmpty():
-            break
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = []
+            for piece, held in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                own = {t["token_bytes"]: t["token_id"] for t in held or ()}
+                ids.append(_merge_piece(piece, own | short.value if len(own) > len(short.value) else ChainMap(own, short.value)))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["piece", "ids"]
+            )
+
+    coded = pieces.join(known, "piece", "left").mapInArrow(merge, "piece binary, ids array<int>")
     encoded = (
-        finished.select(word, "p", F.posexplode("symbols").alias("s", "token"))
-        .join(ranks, "token")
-        .groupBy(word)
-        .agg(F.array_sort(F.collect_list(F.struct("p", "s", "rank")))["rank"].alias("token_ids"))
+        parts.withColumn("piece", F.col("piece").cast("binary")).join(coded, "piece", "left")
+        .groupBy("_word")
+        .agg(F.flatten(F.array_sort(F.collect_list(F.struct("p", "ids")))["ids"]).alias("token_ids"))
+    )
+    nothing = F.array().cast("array<int>")
+    return (
+        df.join(encoded, df[word] == encoded["_word"], "left")
+        .withColumn("token_ids", F.coalesce("token_ids", nothing)).drop("_word")
     )
-    return df.join(encoded, word)
-
-
-def _joined_neighbours(symbols: Column) -> Column:
-    ahead = F.slice(symbols, F.lit(2), F.greatest(F.size(symbols) - 1, F.lit(0)))
-    return F.filter(F.zip_with(symbols, ahead, lambda a, b: F.concat(a, b)), lambda t: t.isNotNull())
 
 
 # --- decoding -------------------------------------------------------------
@@ -330,22 +365,31 @@ def token_text(token_bytes: Column) -> Column:
     return F.make_valid_utf8(token_bytes.cast("string"))
 
 
+def _known(value: Column, token_id: Column) -> Column:
+    """The value, or an error for a token outside the vocabulary."""
+    unknown = F.raise_error(F.concat(F.lit("no such token: "), token_id.cast("string")))
+    return F.when(value.isNotNull() | token_id.isNull(), value).otherwise(unknown)
+
+
 def decode_tokens(df: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """Add the text of ``token_id`` as ``word``."""
-    return df.join(
-        vocabulary.select("token_id", token_text(F.col("token_bytes")).alias("word")), "token_id"
-    )
+    """Add the text of ``token_id`` as ``word``; an unknown token fails the job."""
+    texts = vocabulary.select("token_id", token_text(F.col("token_bytes")).alias("word"))
+    joined = df.join(texts, "token_id", "left")
+    return joined.withColumn("word", _known(F.col("word"), F.col("token_id")))
 
 
 def decode_sequences(df: DataFrame, vocabulary: DataFrame, key: str) -> DataFrame:
     """``(key, text)`` from ``(key, token_ids)`` with a unique key.
 
     Tokens may split a character, so bytes are put together before they are
-    read as text.
+    read as text. A key without tokens has an empty text; an unknown token
+    fails the job.
     """
+    held = vocabulary.select("token_id", F.hex("token_bytes").alias("hex"))
     return (
-        df.select(key, F.posexplode("token_ids").alias("i", "token_id"))
-        .join(vocabulary.select("token_id", F.hex("token_bytes").alias("hex")), "token_id")
+        df.select(key, F.posexplode_outer("token_ids").alias("i", "token_id"))
+        .join(held, "token_id", "left")
+        .withColumn("hex", _known(F.col("hex"), F.col("token_id")))
         .groupBy(key)
         .agg(F.array_sort(F.collect_list(F.struct("i", "hex"))).alias("parts"))
         .select(key, token_text(F.unhex(F.array_join("parts.hex", ""))).alias("text"))

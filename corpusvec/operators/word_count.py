@@ -17,19 +17,6 @@ def word_count(docs: DataFrame, clean: bool = True) -> DataFrame:
     Counts are combined in each task before the shuffle, so a word that makes
     up a third of the corpus still sends one row a task.
     """
-    if not clean:
-        words = docs.select(F.explode(text.lowercase_words(F.col("text"))).alias("word"))
-        return words.where(F.col("word") != "").groupBy("word").agg(F.count("*").alias("frequency"))
-    # Cleaning costs more than counting, so count first what stands between
-    # spaces and clean each distinct string once.
-    raw = (
-        docs.select(F.explode(F.split("text", r"\s+")).alias("raw"))
-        .groupBy("raw")
-        .agg(F.count("*").alias("n"))
-    )
-    return (
-        raw.select(F.lower(F.regexp_replace("raw", r"\W+", "")).alias("word"), "n")
-        .where(F.col("word") != "")
-        .groupBy("word")
-        .agg(F.sum("n").alias("frequency"))
-    )
+    body = F.regexp_replace("text", r"[^\w\s]", "") if clean else F.col("text")
+    words = docs.select(F.explode(text.lowercase_words(body)).alias("word"))
+    return words.where(F.col("word") != "").groupBy("word").agg(F.count("*").alias("frequency"))

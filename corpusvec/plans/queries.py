@@ -46,7 +46,7 @@ WINDOW, STRIDE = 8, 2
 TOP = 5
 DIM = 64
 DUPLICATES = 5
-MERGES, MERGES_PER_ROUND = 64, 16
+MERGES, MERGES_PER_ROUND = 128, 32
 
 
 def query(f: Query) -> Query:
@@ -413,7 +413,7 @@ def vector_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
 def vector_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """At most five vectors share a key."""
     keyed = embeddings(spark, sf_dir).withColumn(
-        "word", F.floor(F.col("vec_id") / DUPLICATES).cast("bigint")
+        "word", shards.whole_division(F.col("vec_id"), F.lit(DUPLICATES))
     )
     joined = concat_vectors(keyed, "word", "vec_id")
     return joined.select("word", F.posexplode("embedding").alias("i", "x"))
@@ -484,7 +484,10 @@ def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def encoded_with_one_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jobs.counted_tokens(documents(spark, sf_dir), one_merge_vocabulary(spark, sf_dir))
+    """Words are counted once, for learning and for encoding."""
+    counts = materialize(word_counts(spark, sf_dir))
+    coded = subwords.encode_words(counts, subwords.learn_vocabulary(counts, merges=1))
+    return coded.select("word", "token_ids", "frequency")
 
 
 @query

@@ -55,15 +55,13 @@ def spread(df: DataFrame, key: str) -> DataFrame:
 def spread_work(df: DataFrame, key: str) -> DataFrame:
     """Hash rows by ``key`` for work that costs far more than its few bytes.
 
-    A number of partitions that is asked for is not merged down by size. On a
-    cluster it is at least the session's shuffle partitions, which are set for
-    the size of the data; on local cores the default of 200 would only cost.
+    A number of partitions that is asked for is not merged down by size. It is
+    the session's shuffle partitions, which are set for the size of the data,
+    and at least a few for each core.
     """
     spark = df.sparkSession
-    partitions = 4 * spark.sparkContext.defaultParallelism
-    if not spark.sparkContext.master.startswith("local"):
-        partitions = max(partitions, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return df.repartition(partitions, key)
+    session = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(session, 4 * spark.sparkContext.defaultParallelism), key)
 
 
 _shipped: set[str] = set()
