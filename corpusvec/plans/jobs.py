@@ -15,7 +15,7 @@ from corpusvec.operators.subwords import (
     learn_vocabulary,
 )
 from corpusvec.operators.training import TrainingOptions, train_shards
-from corpusvec.operators.vectors import mean_vectors
+from corpusvec.operators.vectors import concat_vectors, mean_vectors
 from corpusvec.operators.word_count import word_count
 from corpusvec.session import materialize
 
@@ -81,8 +81,17 @@ def corpus_embeddings(
     return merged_embeddings(train_shards(slices, options), vocabulary, options.dim)
 
 
-def word_vectors(embeddings: DataFrame, dim: int) -> DataFrame:
-    """One vector a word: the mean where several tokens read the same."""
+def word_vectors(embeddings: DataFrame, dim: int, on_duplicate: str = "mean") -> DataFrame:
+    """One vector a word where several tokens read the same.
+
+    Their ``mean``, or by ``concat`` one after the other in the order of their
+    ids; the similarity of vectors of different lengths is that of their
+    common part.
+    """
+    if on_duplicate == "concat":
+        return concat_vectors(embeddings, "word", "token_id")
+    if on_duplicate != "mean":
+        raise ValueError(f"on_duplicate is mean or concat, not {on_duplicate}")
     return mean_vectors(embeddings, ["word"], dim)
 
 

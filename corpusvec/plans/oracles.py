@@ -7,6 +7,7 @@ from corpusvec.plans.queries import (
     DUPLICATES,
     EQUAL_SHARDS,
     LINES_PER_SHARD,
+    MERGES,
     RANGES,
     STRIDE,
     TOKEN_ROWS_PER_SHARD,
@@ -98,9 +99,49 @@ best AS (
   SELECT pair FROM pair_counts ORDER BY frequency DESC, "left", "right" LIMIT 1)"""
 
 # Left to right, the one merged pair or a single character.
-TOKENS = r"""
-list_transform(regexp_extract_all({word}, {pair} || '|.'),
-               lambda t: CASE WHEN t = {pair} THEN 256 ELSE ord(t) END)"""
+TOKENS = """
+list_transform(string_split(replace({word}, {pair}, chr(1)), ''),
+               lambda t: CASE WHEN t = chr(1) THEN 256 ELSE ord(t) END)"""
+
+
+def learned(merges: int) -> str:
+    """Merges learned one at a time, and what they make of every piece.
+
+    Pieces of ``ordered`` words, which keep capitals, go along without weight.
+    A token is found by its merges in the order they were learned.
+    """
+    steps = [r"""
+word_pieces AS MATERIALIZED (
+  SELECT word, i, ps[i] AS piece, frequency FROM (
+    SELECT word, ps, frequency, unnest(range(1, len(ps) + 1)) AS i FROM (
+      SELECT word, frequency, regexp_extract_all(word, '_?[a-z]+|[0-9]{1,3}|_+') AS ps FROM counts))),
+start AS (
+  SELECT piece, CAST(sum(frequency) AS BIGINT) AS f FROM (
+    SELECT piece, frequency FROM word_pieces UNION ALL SELECT DISTINCT word, 0 FROM ordered) GROUP BY piece),
+s0 AS MATERIALIZED (
+  SELECT piece, f, regexp_replace(lower(hex(piece)), '(..)', '<\1>', 'g') AS s FROM start)"""]
+    for k in range(1, merges + 1):
+        steps.append(f"""
+b{k} AS MATERIALIZED (
+  SELECT p[i] AS l, p[i + 1] AS r FROM (
+    SELECT p, f, unnest(range(1, len(p))) AS i FROM (
+      SELECT string_split(trim(s, '<>'), '><') AS p, f FROM s{k - 1} WHERE f > 0))
+  GROUP BY l, r ORDER BY sum(f) DESC, l, r LIMIT 1),
+s{k} AS MATERIALIZED (
+  SELECT piece, f, replace(s, '<' || l || '><' || r || '>', '<' || l || r || '>') AS s FROM s{k - 1}, b{k})""")
+    every = " UNION ALL ".join(f"SELECT {k} AS k, l || r AS t FROM b{k}" for k in range(1, merges + 1))
+    steps.append(f"""
+first_learned AS (SELECT t, min(k) AS k FROM ({every}) GROUP BY t),
+tokens AS MATERIALIZED (
+  SELECT printf('%02x', b) AS t, CAST(b AS INTEGER) AS id FROM range(0, 256) x(b)
+  UNION ALL SELECT t, CAST(255 + row_number() OVER (ORDER BY k) AS INTEGER) FROM first_learned),
+piece_ids AS MATERIALIZED (
+  SELECT piece, list(id ORDER BY i) AS ids FROM (
+    SELECT piece, p[i] AS t, i FROM (
+      SELECT piece, p, unnest(range(1, len(p) + 1)) AS i FROM (
+        SELECT piece, string_split(trim(s, '<>'), '><') AS p FROM s{merges}))) JOIN tokens USING (t)
+  GROUP BY piece)""")
+    return ",".join(steps)
 
 
 def token_list(tokens: str) -> str:
@@ -126,9 +167,16 @@ SELECT shard_id, CAST(s AS INTEGER) AS start_idx,
 FROM starts"""
 
 
-TOP_SQL = f"""
+NAMED = """
+named AS (
+  SELECT 'w' || vec_id AS word, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)"""
+
+JOINED = f"""
 named AS (
-  SELECT 'w' || vec_id AS word, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+  SELECT 'w' || (vec_id // {DUPLICATES}) AS word, flatten(list(CAST(embedding AS DOUBLE[]) ORDER BY vec_id)) AS v
+  FROM embeddings GROUP BY ALL)"""
+
+TOP_OF_NAMED = f"""
 scored AS (
   SELECT a.word, b.word AS neighbour,
          CASE WHEN list_inner_product(a.v, a.v) = 0 OR list_inner_product(b.v, b.v) = 0 THEN 0.0
@@ -140,6 +188,8 @@ ranked AS (
   FROM scored),
 best AS (SELECT * FROM ranked WHERE rank <= {TOP})"""
 
+TOP_SQL = f"{NAMED}, {TOP_OF_NAMED}"
+
 ORACLES: dict[str, str] = {
     "clean_lines": f"WITH {LINES} SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, {CLEAN} AS line FROM lines",
     "word_counts": f"WITH {CLEAN_COUNTS} SELECT word, frequency FROM counts",
@@ -245,6 +295,8 @@ sums AS (
 SELECT vec_id, round(CASE WHEN a = 0 OR b = 0 THEN 0.0 ELSE d / (sqrt(a) * sqrt(b)) END, 6) AS similarity
 FROM sums""",
     "top_n_similar": f"""WITH {TOP_SQL}
+SELECT word, CAST(rank AS INTEGER) AS rank, neighbour, round(similarity, 6) AS similarity FROM best""",
+    "top_n_similar_concat": f"""WITH {JOINED}, {TOP_OF_NAMED}
 SELECT word, CAST(rank AS INTEGER) AS rank, neighbour, round(similarity, 6) AS similarity FROM best""",
     "similar_yaml": rf"""WITH {TOP_SQL}
 SELECT word || ':' || chr(10) || string_agg(
@@ -261,9 +313,24 @@ FROM counts, best""",
     "word_count_csv_scan": f"""WITH {ONE_MERGE}
 SELECT word, {token_list(TOKENS.format(word="word", pair="pair"))} AS token_list, frequency
 FROM counts, best""",
+    "vocabulary": f"""WITH {LETTERS}, {CLEAN_COUNTS}, {learned(MERGES)}
+SELECT id AS token_id, upper(t) AS token FROM tokens""",
+    "counted_tokens": f"""WITH {LETTERS}, {CLEAN_COUNTS}, {learned(MERGES)}
+SELECT word, flatten(list(ids ORDER BY i)) AS token_ids, any_value(frequency) AS frequency
+FROM word_pieces JOIN piece_ids USING (piece) GROUP BY word""",
+    "ordered_tokens": f"""WITH {LETTERS}, {CLEAN_COUNTS}, {learned(MERGES)}
+SELECT pos, row_index, word, ids AS token_ids FROM ordered JOIN piece_ids ON word = piece""",
     "ordered_token_csv_scan": f"""WITH {LETTERS}, {ONE_MERGE}
 SELECT pos, word, {token_list(TOKENS.format(word="word", pair="pair"))} AS token_list
 FROM ordered, best""",
+    "word_count_csv_order": f"WITH {CLEAN_COUNTS} SELECT row_number() OVER (ORDER BY word) - 1 AS row_no, word FROM counts",
+    "embedding_csv_order": """
+SELECT row_number() OVER (ORDER BY vec_id) - 1 AS row_no, CAST(vec_id AS VARCHAR) AS token_id FROM embeddings""",
+    "embedding_csv_text_order": """
+SELECT row_number() OVER (ORDER BY CAST(vec_id AS VARCHAR)) - 1 AS row_no, CAST(vec_id AS VARCHAR) AS token_id
+FROM embeddings""",
+    "ordered_token_csv_order": f"""WITH {LETTERS}
+SELECT row_index AS row_no, CAST(pos AS VARCHAR) AS pos FROM ordered""",
     "embedding_csv_scan": f"""
 SELECT CAST(vec_id AS VARCHAR) AS token_id, 'w' || vec_id AS word, CAST(i - 1 AS INTEGER) AS i,
        CAST(embedding[i] AS DOUBLE) AS x

@@ -46,7 +46,7 @@ WINDOW, STRIDE = 8, 2
 TOP = 5
 DIM = 64
 DUPLICATES = 5
-MERGES, MERGES_PER_ROUND = 128, 32
+MERGES, MERGES_PER_ROUND = 128, 16
 
 
 def query(f: Query) -> Query:
@@ -352,6 +352,52 @@ def embedding_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def rows_in_order(spark: SparkSession, path: str, header: str) -> DataFrame:
+    """``(row_no, field)``: the first field of each written row, numbered as it stands in the files."""
+    kept = numbered_lines(spark, path).where(F.col("line") != header)
+    return positions.with_row_index(materialize(kept), "line_index", "row_no").select(
+        "row_no", F.substring_index("line", ",", 1).alias("field")
+    )
+
+
+@query
+def word_count_csv_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word order in the files, after a second run has replaced the first."""
+    path = scratch_path(spark, "word_count_csv")
+    for counts in (word_counts_raw(spark, sf_dir), encoded_with_one_merge(spark, sf_dir)):
+        if "token_ids" not in counts.columns:
+            counts = counts.withColumn("token_ids", F.array(F.lit(0)))
+        write_text(word_count_csv(counts), path, header=WORD_COUNT_HEADER)
+    return rows_in_order(spark, path, WORD_COUNT_HEADER).withColumnRenamed("field", "word")
+
+
+def written_embeddings(spark: SparkSession, sf_dir: str, text_order: bool) -> DataFrame:
+    path = scratch_path(spark, "embeddings_csv")
+    table = embeddings(spark, sf_dir).select(
+        F.col("vec_id").alias("token_id"), F.lit("w").alias("word"), "embedding"
+    )
+    write_text(embedding_csv(table, text_order), path, header=EMBEDDING_HEADER)
+    return rows_in_order(spark, path, EMBEDDING_HEADER).withColumnRenamed("field", "token_id")
+
+
+@query
+def embedding_csv_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return written_embeddings(spark, sf_dir, text_order=False)
+
+
+@query
+def embedding_csv_text_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return written_embeddings(spark, sf_dir, text_order=True)
+
+
+@query
+def ordered_token_csv_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "ordered_tokens_csv")
+    tokens = jobs.ordered_tokens(documents(spark, sf_dir), one_merge_vocabulary(spark, sf_dir))
+    write_text(ordered_token_csv(tokens), path, header=TOKEN_HEADER)
+    return rows_in_order(spark, path, TOKEN_HEADER).withColumnRenamed("field", "pos")
+
+
 # --- windows --------------------------------------------------------------
 
 
@@ -448,6 +494,17 @@ def top_n_similar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best.withColumn("similarity", F.round("similarity", 6))
 
 
+@query
+def top_n_similar_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of several vectors, one after the other as one vector."""
+    key = shards.whole_division(F.col("vec_id"), F.lit(DUPLICATES)).cast("string")
+    table = embeddings(spark, sf_dir).select(
+        F.col("vec_id").alias("token_id"), F.concat(F.lit("w"), key).alias("word"), "embedding"
+    )
+    best = similarity.top_n_similar(jobs.word_vectors(table, DIM, on_duplicate="concat"), TOP)
+    return best.withColumn("similarity", F.round("similarity", 6))
+
+
 @query
 def similar_yaml(spark: SparkSession, sf_dir: str) -> DataFrame:
     nested = similarity.similar_words(named_vectors(spark, sf_dir), TOP)

@@ -2,17 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from corpusvec.session import spread
+from corpusvec.session import materialize, spread
 
 # Splits are broadcast up to this many rows (about 100 bytes each); beyond
 # it both sides shuffle on the split.
 BROADCAST_SPLITS = 200_000
 
 
+def natural_order(path: Column) -> Column:
+    """A text that sorts as the path does with its numbers read as numbers.
+
+    Runs of up to 20 digits are filled up to 20 with zeros.
+    """
+    filled = F.regexp_replace(path, r"([0-9]+)", "0" * 20 + "$1")
+    return F.regexp_replace(filled, r"(?<![0-9])[0-9]{1,20}([0-9]{20})(?![0-9])", "$1")
+
+
 def read_lines(spark: SparkSession, path: str | list[str], recursive: bool = False) -> DataFrame:
     """Lines of text files as ``(value)``; ``recursive`` descends into folders."""
     return spark.read.option("recursiveFileLookup", recursive).text(path)
@@ -27,10 +36,11 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 def numbered_lines(spark: SparkSession, path: str | list[str], recursive: bool = False) -> DataFrame:
     """Lines with their number over all files: ``(line_index BIGINT, line)``.
 
-    Files count in path order. A line's number is the number of lines in
-    earlier splits plus its place in its own split, which the scan's
-    increasing ids give without moving any text: only one row a split is
-    aggregated, and the running total over those is the offset.
+    Files count in path order, numbers in their names by value, so that
+    ``part-100000`` comes after ``part-99999``. A line's number is the number
+    of lines in earlier splits plus its place in its own split, which the
+    scan's increasing ids give without moving any text: only one row a split
+    is aggregated, and the running total over those is the offset.
     """
     lines = read_lines(spark, path, recursive).select(
         F.col("value").alias("line"),
@@ -43,7 +53,7 @@ def numbered_lines(spark: SparkSession, path: str | list[str], recursive: bool =
     )
     files = splits.groupBy("file").agg(F.sum("n").alias("file_n"))
     earlier_files = files.select(
-        "file", (F.sum("file_n").over(W.orderBy("file")) - F.col("file_n")).alias("file_offset")
+        "file", (F.sum("file_n").over(W.orderBy(natural_order(F.col("file")), "file")) - F.col("file_n")).alias("file_offset")
     )
     in_file = W.partitionBy("file").orderBy("start")
     offsets = (
@@ -53,7 +63,8 @@ def numbered_lines(spark: SparkSession, path: str | list[str], recursive: bool =
             "file", "start", (F.col("file_offset") + F.col("split_offset") - F.col("first_id")).alias("shift")
         )
     )
-    if lines.rdd.getNumPartitions() <= BROADCAST_SPLITS:
+    offsets = materialize(offsets)
+    if offsets.count() <= BROADCAST_SPLITS:
         offsets = F.broadcast(offsets)
     return lines.join(offsets, ["file", "start"]).select(
         (F.col("scan_id") + F.col("shift")).alias("line_index"), "line"

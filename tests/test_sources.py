@@ -34,12 +34,12 @@ def test_embedding_rows(spark):
     got = embedding_rows(
         lines(
             spark,
-            ["1,word1,0.1,0.2,0.3", "TokenID,Word,Embeddings", '1,"word, with, commas",0.1,0.2,0.3',
+            ["1,plum,0.1,0.2,0.3", "TokenID,Word,Embeddings", '1,"red, ripe, sweet",0.1,0.2,0.3',
              "1,word", "2,bad,0.1,x", "", "3,one,5"],
         )
     )
     assert tuples(got) == [
-        ("1", "word, with, commas", [0.1, 0.2, 0.3]), ("1", "word1", [0.1, 0.2, 0.3]), ("3", "one", [5.0]),
+        ("1", "plum", [0.1, 0.2, 0.3]), ("1", "red, ripe, sweet", [0.1, 0.2, 0.3]), ("3", "one", [5.0]),
     ]
 
 
@@ -160,3 +160,11 @@ def test_yaml(spark):
     assert {r.value for r in similar_words_yaml(nested).collect()} == {
         "a:\n  - word: b\n    similarity: 0.5\n  - word: c\n    similarity: -0.25", "z:\n",
     }
+
+
+def test_lines_count_files_by_their_numbers(spark, tmp_path):
+    for name in ("part-99999", "part-100000", "part-00002", "shard_10.txt", "shard_2.txt"):
+        (tmp_path / name).write_text(f"{name} a\n{name} b\n")
+    got = [r.line for r in numbered_lines(spark, str(tmp_path)).orderBy("line_index").collect()]
+    names = ["part-00002", "part-99999", "part-100000", "shard_2.txt", "shard_10.txt"]
+    assert got == [f"{n} {x}" for n in names for x in "ab"]

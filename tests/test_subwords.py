@@ -71,7 +71,7 @@ def test_vocabulary_beyond_the_bound_is_joined(spark, monkeypatch):
 
 
 TEXTS = [
-    "Hello, world!", "!@#$%^&*()_+{}|:\"<>?`~", "anna", "naïve 東京 😀", " lead  two\n\nlines 12345",
+    "Good morning, all of you.", "[~^] {<=>} 50% #1 a|b; c\\d", "marigold", "naïve 東京 😀", " lead  two\n\nlines 12345",
     "it's we'll", "a_b __c", "\u2028",
 ]
 
@@ -145,3 +145,54 @@ def test_pairs_of_a_round_do_not_overlap(spark):
     df = spark.createDataFrame([("abc", 5), ("ab", 2), ("xy", 6), ("xz", 1)], "word string, frequency long")
     got = subwords.learn_vocabulary(df, merges=2, merges_per_round=2).where("token_id >= 256")
     assert [bytes(r.token_bytes) for r in got.orderBy("token_id").collect()] == [b"ab", b"xy"]
+
+
+@pytest.mark.parametrize("per_round", [1, 3, 64])
+def test_rounds_never_change_the_vocabulary(spark, per_round):
+    rng = random.Random(5)
+    parts = ["th", "he", "the", "in", "ing", "er", "re", "an", "aa", "x"]
+    counts = {"".join(rng.choices(parts, k=rng.randrange(1, 6))): rng.randrange(1, 40) for _ in range(300)}
+    df = spark.createDataFrame(list(counts.items()), "word string, frequency long")
+    got = subwords.learn_vocabulary(df, 30, per_round).where("token_id >= 256").orderBy("token_id").collect()
+    assert [bytes(r.token_bytes) for r in got] == list(dict.fromkeys(learn_by_hand(counts, 30)))
+
+
+def test_batches_equal_single_merges_on_a_corpus(spark):
+    from corpusvec.operators.word_count import word_count
+
+    counts = word_count(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
+    pieces = counts.select(subwords.F.explode(subwords.pieces_of(counts.word)).alias("p"), "frequency")
+    by_hand = learn_by_hand({r.p: r.n for r in pieces.groupBy("p").agg(subwords.F.sum("frequency").alias("n")).collect()}, 200)
+    got = subwords.learn_vocabulary(counts, 200, 16).where("token_id >= 256").orderBy("token_id").collect()
+    assert [bytes(r.token_bytes) for r in got] == list(dict.fromkeys(by_hand))
+
+
+def test_both_encoders_give_the_same_rows(spark):
+    words = ["ab", "", None, "b", "é", "ab" * 10_000, "a b", "xaby", "ab"]
+    df = spark.createDataFrame([(w,) for w in words], "word string")
+    known = table(spark, [b"ab", b"abab", b"aba", b"\xc3\xa9", b"bab"])
+
+    def rows(coded):
+        return sorted(((r.word, r.token_ids) for r in coded.collect()), key=repr)
+
+    here = rows(subwords.encode_words(df, known))
+    assert here == rows(subwords.encode_words_by_join(df, known)) and len(here) == len(words)
+
+
+def test_both_encoders_fail_without_a_byte(spark):
+    known = table(spark, []).where("token_id <> 98")
+    df = spark.createDataFrame([("ab",)], "word string")
+    for encode in (subwords.encode_words, subwords.encode_words_by_join):
+        with pytest.raises(Exception, match="KeyError"):
+            encode(df, known).collect()
+
+
+def test_decoding_keeps_every_key(spark):
+    known = table(spark, [b"ab"])
+    df = spark.createDataFrame([(1, []), (2, [256, 97]), (3, None)], "k int, token_ids array<int>")
+    assert {r.k: r.text for r in subwords.decode_sequences(df, known, "k").collect()} == {1: "", 2: "aba", 3: ""}
+    unknown = spark.createDataFrame([(1, [999])], "k int, token_ids array<int>")
+    with pytest.raises(Exception, match="no such token"):
+        subwords.decode_sequences(unknown, known, "k").collect()
+    with pytest.raises(Exception, match="no such token"):
+        subwords.decode_tokens(spark.createDataFrame([(999,)], "token_id int"), known).collect()
