@@ -89,6 +89,23 @@ def test_near_duplicates_of_crowds_and_chains(spark):
     check_near(near_duplicates(df).collect(), texts, 85)
 
 
+@pytest.mark.parametrize("base_id", [0, 150, None])
+def test_near_duplicates_of_a_star(spark, base_id):
+    """Copies that are like one text but not like each other, with and without it."""
+    rng = random.Random(4)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(140)]
+    texts = {}
+    for k in range(300):
+        text = list(base)
+        for _ in range(2):
+            text[rng.randrange(140)] = f"x{rng.random()}"
+        texts[k] = " ".join(text)
+    if base_id is not None:
+        texts[base_id] = " ".join(base)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
+    check_near(near_duplicates(df).collect(), texts, 85)
+
+
 def test_near_vectors(spark):
     rng = np.random.default_rng(5)
     centres = rng.normal(size=(12, 24))
