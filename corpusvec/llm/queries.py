@@ -13,6 +13,7 @@ from corpusvec.llm.html_text import extract_text
 from corpusvec.llm.language import identify_language
 from corpusvec.llm.lattice import score_texts
 from corpusvec.llm.minhash import near_duplicates
+from corpusvec.llm.oracles import ORACLES  # noqa: F401
 from corpusvec.llm.packing import pack_documents
 from corpusvec.llm.pii import KINDS, find_personal_data, shown
 from corpusvec.llm.repeats import remove_repeats
@@ -23,7 +24,6 @@ from corpusvec.session import ship_package
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
 
 #: Longest sequence of the model, in tokens.
 SEQUENCE = 2048
