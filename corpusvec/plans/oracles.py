@@ -144,6 +144,12 @@ piece_ids AS MATERIALIZED (
     return ",".join(steps)
 
 
+SHARD_IDS = f"""
+shard_ids AS (
+  SELECT row_index // {TOKEN_ROWS_PER_SHARD} AS shard_id, row_index, i, ids[i] AS id
+  FROM (SELECT row_index, ids, unnest(range(1, len(ids) + 1)) AS i FROM ordered JOIN piece_ids ON word = piece))"""
+
+
 def token_list(tokens: str) -> str:
     return f"'[' || array_to_string({tokens}, ' ') || ']'"
 
@@ -320,6 +326,15 @@ SELECT word, flatten(list(ids ORDER BY i)) AS token_ids, any_value(frequency) AS
 FROM word_pieces JOIN piece_ids USING (piece) GROUP BY word""",
     "ordered_tokens": f"""WITH {LETTERS}, {CLEAN_COUNTS}, {learned(MERGES)}
 SELECT pos, row_index, word, ids AS token_ids FROM ordered JOIN piece_ids ON word = piece""",
+    "shard_vocabularies": f"""WITH {LETTERS}, {CLEAN_COUNTS}, {learned(MERGES)}, {SHARD_IDS}
+SELECT shard_id, id AS token_id, CAST(row_number() OVER (PARTITION BY shard_id ORDER BY id) - 1 AS INTEGER) AS token_index
+FROM (SELECT DISTINCT shard_id, id FROM shard_ids)""",
+    "training_windows": f"""WITH {LETTERS}, {CLEAN_COUNTS}, {learned(MERGES)}, {SHARD_IDS},
+seqs AS (SELECT shard_id, list(id ORDER BY row_index, i) AS t, count(*) AS n FROM shard_ids GROUP BY shard_id),
+starts AS (SELECT shard_id, t, n, s FROM (SELECT shard_id, t, n, unnest(range(0, n, {STRIDE})) AS s FROM seqs)
+  WHERE s + {WINDOW} <= n AND (s = 0 OR s - {STRIDE} + {WINDOW + 1} < n))
+SELECT shard_id, CAST(s AS INTEGER) AS start_idx, {token_list(f"t[s + 1 : s + {WINDOW}]")} AS context,
+       t[least(s + {WINDOW + 1}, n)] AS target FROM starts""",
     "ordered_token_csv_scan": f"""WITH {LETTERS}, {ONE_MERGE}
 SELECT pos, word, {token_list(TOKENS.format(word="word", pair="pair"))} AS token_list
 FROM ordered, best""",

@@ -597,6 +597,27 @@ def token_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.corpus_embeddings(documents(spark, sf_dir), known)
 
 
+def shard_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(shard_id, row_index, i, token_id)``: what the shards train on, one token a row."""
+    tokens = jobs.ordered_tokens(documents(spark, sf_dir), corpus_vocabulary(spark, sf_dir))
+    shard = shards.fixed_shard(F.col("row_index"), TOKEN_ROWS_PER_SHARD).alias("shard_id")
+    return tokens.select(shard, "row_index", F.posexplode("token_ids").alias("i", "token_id"))
+
+
+@query
+def shard_vocabularies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return windows.token_index(shard_token_ids(spark, sf_dir))
+
+
+@query
+def training_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contexts and targets over token ids, complete contexts only, as training takes them."""
+    every = windows.token_windows(shard_token_ids(spark, sf_dir), ["row_index", "i"], "token_id", WINDOW, STRIDE)
+    return every.where(F.size("context") == WINDOW).select(
+        "shard_id", "start_idx", rows.format_token_list(F.col("context")).alias("context"), "target"
+    )
+
+
 @query
 def word_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of a document by shard, one row for each part."""
