@@ -6,9 +6,13 @@ import argparse
 
 from pyspark.sql import SparkSession
 
+from corpusvec.operators.subwords import learn_vocabulary
 from corpusvec.operators.training import TrainingOptions
+from corpusvec.operators.word_count import word_count
 from corpusvec.plans import files
+from corpusvec.plans.jobs import run_corpus
 from corpusvec.session import ship_package
+from corpusvec.sources import read_documents
 
 
 def arguments() -> argparse.Namespace:
@@ -34,6 +38,10 @@ def arguments() -> argparse.Namespace:
     train.add_argument("--window", type=int, default=8)
     train.add_argument("--stride", type=int, default=2)
     train.add_argument("--learning-rate", type=float, default=1e-3)
+    whole = add("run-corpus", "documents", "output")
+    whole.add_argument("--merges", type=int, required=True)
+    whole.add_argument("--rows", type=int, default=10_000)
+    whole.add_argument("--top", type=int, default=5)
     add("find-similar", "input", "output").add_argument("--top", type=int, default=5)
     return parser.parse_args()
 
@@ -57,6 +65,10 @@ def main() -> None:
             window=a.window, stride=a.stride, dim=a.dim, epochs=a.epochs, learning_rate=a.learning_rate
         )
         files.train_embeddings(spark, a.input, a.vocabulary, a.output, a.rows, options)
+    elif a.job == "run-corpus":
+        docs = read_documents(spark, a.documents)
+        vocabulary = learn_vocabulary(word_count(docs), a.merges)
+        run_corpus(docs, a.output, vocabulary, a.top, a.rows)
     else:
         files.find_similar(spark, a.input, a.output, a.top)
     spark.stop()

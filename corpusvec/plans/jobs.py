@@ -97,7 +97,7 @@ def word_vectors(embeddings: DataFrame, dim: int, on_duplicate: str = "mean") ->
 
 def corpus_similar_words(
     docs: DataFrame,
-    merges: int = 64,
+    merges: int = 128,
     merges_per_round: int = 16,
     n: int = 5,
     rows_per_shard: int = TOKEN_ROWS_PER_SHARD,
