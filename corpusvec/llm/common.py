@@ -62,6 +62,29 @@ def appended(docs: DataFrame, columns: dict[str, str]) -> tuple[DataFrame, str]:
     return own, f"{own.schema.toDDL()}, {added}"
 
 
+def bound_batches(spark: SparkSession, limit: str = "4m") -> None:
+    """Let Arrow batches between the JVM and Python hold bytes, not rows, of a bounded number.
+
+    The default of 10,000 rows is hundreds of megabytes where texts are long.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", limit)
+
+
+_held: dict = {}
+
+
+def held(kind: str, key, make):
+    """What a Python worker keeps from task to task, made where it is not there.
+
+    A worker serves one operator after another; only what the last one made is
+    kept, so that their memory does not add up.
+    """
+    if (kind, key) not in _held:
+        _held.clear()
+        _held[kind, key] = make()
+    return _held[kind, key]
+
+
 def row_numbers() -> Iterator[int]:
     """Numbers that no other task gives, for rows that may share a key."""
     first = TaskContext.get().partitionId() << 40

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusvec.llm.common import appended, slices_of, texts_of
+from corpusvec.llm.common import appended, held, slices_of, texts_of
 
 UNKNOWN = "und"
 #: A phrase ends at the latest with its block of so many symbols:
@@ -19,7 +18,6 @@ BLOCK = 1024
 SPACE, OTHER = 0, 1
 
 
-@functools.lru_cache(maxsize=2)
 def symbol_table(letters: str) -> np.ndarray:
     """A symbol for every code point: 0 no letter, 1 a letter not in ``letters``."""
     table = np.zeros(0x110000, dtype=np.uint8)
@@ -147,9 +145,8 @@ class Languages:
         return out
 
 
-@functools.lru_cache(maxsize=2)
 def languages(samples: tuple[tuple[str, str], ...]) -> Languages:
-    return Languages(dict(samples))
+    return held("languages", samples, lambda: Languages(dict(samples)))
 
 
 def labelled_samples(labelled: DataFrame, rows: int, chars: int) -> dict[str, str]:

@@ -49,8 +49,9 @@ def permutations(n: int) -> tuple[np.ndarray, np.ndarray]:
 def signature(shingles: np.ndarray, n: int) -> np.ndarray:
     times, plus = permutations(n)
     least = np.full(n, np.iinfo(np.uint64).max, dtype=np.uint64)
-    for start in range(0, len(shingles), 2048):
-        part = times * shingles[None, start : start + 2048] + plus
+    step = (1 << 18) // n
+    for start in range(0, len(shingles), step):
+        part = times * shingles[None, start : start + step] + plus
         np.minimum(least, part.min(axis=1), out=least)
     return (least >> np.uint64(32)).astype(np.uint32)
 
@@ -184,18 +185,32 @@ def crowds(keys: DataFrame, forest: Forest) -> DataFrame:
     return members.join(pivots, of).select(*of, "id", "pivot", "n")
 
 
-#: Members of a region that one row packs.
-TILE = 1024
+#: Members of a region that one row packs, and minima of their longer signatures.
+TILE, LONGER = 512, 1024
 
 
-def left_apart(members: DataFrame, joined: DataFrame, reps: DataFrame, forest: Forest, least: int) -> DataFrame:
+def longer_signatures(texts: DataFrame) -> DataFrame:
+    """``id, signature`` of ``doc_id, text``: `LONGER` minima of 16 bits each."""
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in rows_of(batches):
+            minima = [signature(shingle_set(text), LONGER).astype("<u2").tobytes() for _, text in rows]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([i for i, _ in rows], pa.int64()), pa.array(minima, pa.binary())], names=["id", "signature"]
+            )
+
+    return texts.select("doc_id", "text").mapInArrow(sketch, "id long, signature binary")
+
+
+def left_apart(members: DataFrame, joined: DataFrame, texts: DataFrame, least: int) -> DataFrame:
     """Pairs of a crowded region that are still apart and whose signatures agree enough.
 
     All members outside the component of their region's pivot meet all members,
     in packed tiles of bounded size; a pair leaves its task only if the share
-    of equal minima comes within four deviations of ``least``.
+    of equal minima comes within four deviations of ``least``, by longer
+    signatures that are made for these documents only.
     """
-    n = forest.trees * forest.depth
+    n = LONGER
     goal = least / 100
     enough = n * (goal - 4 * math.sqrt(goal * (1 - goal) / n))
     of = ["tree", "region"]
@@ -205,7 +220,8 @@ def left_apart(members: DataFrame, joined: DataFrame, reps: DataFrame, forest: F
     placed = placed.join(home, "pivot", "left").withColumn("home", F.coalesce("home", "pivot"))
     mixed = placed.groupBy(*of).agg(F.max(F.col("component") != F.col("home")).alias("mixed")).where("mixed").drop("mixed")
     placed = stored(placed.join(stored(mixed, "mixed"), of), "placed")
-    signed = placed.join(reps.select(F.col("doc_id").alias("id"), "signature"), "id")
+    ids = placed.select(F.col("id").alias("doc_id")).distinct()
+    signed = placed.join(stored(longer_signatures(texts.join(ids, "doc_id", "left_semi")), "longer"), "id")
     signed = signed.withColumn("tiles", F.ceil(F.col("n") / TILE).cast("int"))
 
     def packed(df: DataFrame, name: str) -> DataFrame:
@@ -219,7 +235,7 @@ def left_apart(members: DataFrame, joined: DataFrame, reps: DataFrame, forest: F
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def unpacked(rows) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             ids, own = (rows.field(k).to_numpy(zero_copy_only=False) for k in ("id", "component"))
-            return ids, own, np.frombuffer(b"".join(rows.field("signature").to_pylist()), dtype="<u4").reshape(len(ids), n)
+            return ids, own, np.frombuffer(b"".join(rows.field("signature").to_pylist()), dtype="<u2").reshape(len(ids), n)
 
         for batch in batches:
             found_a, found_b = [], []
@@ -289,7 +305,7 @@ def near_duplicates(docs: DataFrame, least: int = 85, forest: Forest = Forest())
     pairs = stored(candidates(keys, forest, sketched.count()), "candidates")
     members = stored(crowds(keys, forest), "crowds")
     with_pivot = members.where("id <> pivot").select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b"))
-    asked = pairs.unionByName(with_pivot.distinct().withColumn("order", F.lit(forest.trees)))
+    asked = pairs.unionByName(with_pivot.distinct().withColumn("order", F.lit(0)))
     ids = stored(asked.select(F.col("a").alias("doc_id")).union(asked.select("b")).distinct(), "ids")
     few, _ = split_by(texts, ids)
     wanted = stored(few.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
@@ -302,15 +318,15 @@ def near_duplicates(docs: DataFrame, least: int = 85, forest: Forest = Forest())
         known = some.select("a", "b").distinct().join(a, "a", "left").join(b, "b", "left")
         return known.where(F.coalesce("component_a", "a") != F.coalesce("component_b", "b"))
 
-    # First the next neighbours in a few orders, which join what is crowded,
-    # then all other neighbours and pivots that are still apart, then whatever
+    # First pivots and the next neighbours in a few orders, which join what is
+    # crowded, then all other neighbours that are still apart, then whatever
     # else of the crowded regions is.
     links = stored(confirmed(asked.where(F.col("order") < 3), wanted, least), "links")
     joined = joined_by(links)
     second = stored(confirmed(still_apart(asked.where(F.col("order") >= 3), joined), wanted, least), "links")
     links = links.unionByName(second)
     joined = joined_by(links)
-    rest = stored(left_apart(members, joined, reps, forest, least), "rest").join(asked.select("a", "b"), ["a", "b"], "left_anti")
+    rest = stored(left_apart(members, joined, wanted, least), "rest").join(asked.select("a", "b"), ["a", "b"], "left_anti")
     third = stored(confirmed(rest, wanted, least), "links")
     joined = joined_by(links.unionByName(third))
     class_of = (

@@ -28,7 +28,7 @@ def encoded_pieces(docs: DataFrame, tokenizer_path: str, size: int) -> DataFrame
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = tokens.memo(tokenizer_path)
-        for rows in rows_of(batches):
+        for rows in rows_of(batches, limit=1 << 21):
             out = []
             for (doc_id, _), ids in zip(rows, memo.ids([text for _, text in rows]), strict=True):
                 ids += b"\0\0\0\0"

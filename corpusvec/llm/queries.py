@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusvec.llm.common import fold
+from corpusvec.llm.common import bound_batches, fold
 from corpusvec.llm.decontamination import find_contamination
 from corpusvec.llm.html_text import extract_text
 from corpusvec.llm.language import identify_language
@@ -41,9 +41,14 @@ def piece_vocabulary() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def prepare(spark: SparkSession) -> None:
+    ship_package(spark)
+    bound_batches(spark)
+
+
 def query(f: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        ship_package(spark)
+        prepare(spark)
         return f(spark, sf_dir)
 
     QUERIES[f.__name__] = run

@@ -7,10 +7,10 @@ import functools
 import numpy as np
 import xxhash
 
-from corpusvec.llm.common import words_of
+from corpusvec.llm.common import held, words_of
 
 #: Distinct words whose hashes a worker keeps before it starts anew.
-MEMO = 1 << 19
+MEMO = 1 << 18
 
 
 class WordHashes(dict):
@@ -21,9 +21,8 @@ class WordHashes(dict):
         return found
 
 
-@functools.lru_cache(maxsize=1)
 def word_hashes() -> WordHashes:
-    return WordHashes()
+    return held("word-hashes", None, WordHashes)
 
 
 @functools.lru_cache(maxsize=8)

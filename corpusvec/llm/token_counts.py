@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusvec.llm import tokens
-from corpusvec.llm.common import stored, texts_of
+from corpusvec.llm.common import held, stored, texts_of
 from corpusvec.llm.lexicon import document_sums, word_counts
 
 
@@ -21,7 +21,7 @@ def with_piece_counts(table: DataFrame, path: str) -> DataFrame:
     """Add ``values``: the number of tokens of each distinct pre-token."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = tokens.load(path)
+        tokenizer = held("tokenizer", path, lambda: tokens.load(path))
         for batch in batches:
             words = [u.decode("utf-8", "replace") for u in batch.column(0).to_pylist()]
             sizes: list[list[float]] = []

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-import functools
 import os
 import re
 from itertools import pairwise
 
 import numpy as np
 
-#: Words whose ids a Python worker keeps before it starts anew.
-MEMO = 1 << 20
+from corpusvec.llm.common import held
+
+#: Words, and parts of words, whose ids a Python worker keeps before it starts
+#: anew. A word of known parts is cheap, so it is the parts that are kept long.
+MEMO, PARTS = 1 << 17, 1 << 19
 
 
 def spaced(text: str) -> list[str]:
@@ -22,7 +24,6 @@ def spaced(text: str) -> list[str]:
     return text.replace("\n", " ").split(" ")
 
 
-@functools.lru_cache(maxsize=4)
 def load(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
@@ -79,7 +80,7 @@ class Memo:
         """Make sure that all of ``words`` are known."""
         if len(self.words) > MEMO:
             self.words.clear()
-        if len(self.parts) > MEMO:
+        if len(self.parts) > PARTS:
             self.parts.clear()
             self.parts[""] = b""
         new = words.difference(self.words)
@@ -102,6 +103,5 @@ class Memo:
         return [b"".join(map(get, words)) for words in split]
 
 
-@functools.lru_cache(maxsize=2)
 def memo(path: str) -> Memo:
-    return Memo(path)
+    return held("token-ids", path, lambda: Memo(path))
