@@ -17,8 +17,7 @@ from corpusvec.llm.membership import split_by
 from corpusvec.llm.minhash import near_duplicates
 from corpusvec.llm.packing import pack_documents
 from corpusvec.llm.pii import sanitise
-from corpusvec.llm.queries import SEQUENCE, word_tokenizer
-from corpusvec.session import ship_package
+from corpusvec.llm.queries import SEQUENCE, prepare, word_tokenizer
 
 
 def same_columns(df: DataFrame, docs: DataFrame) -> DataFrame:
@@ -27,7 +26,7 @@ def same_columns(df: DataFrame, docs: DataFrame) -> DataFrame:
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in no language go: null texts and those without a letter."""
-    ship_package(spark)
+    prepare(spark)
     found = with_language(docs, docs.where(fold(F.col("doc_id"), 5) != 0))
     letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     return same_columns(found.where((F.col("lang_pred") != UNKNOWN) | letters), docs)
@@ -35,7 +34,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by a similarity of 0.8 or more the one of least id stays."""
-    ship_package(spark)
+    prepare(spark)
     gone = near_duplicates(docs, least=80).where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
     gone = stored(gone, "near-copies")
     few, others = split_by(docs, gone)
@@ -44,7 +43,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
-    ship_package(spark)
+    prepare(spark)
     found = with_contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return same_columns(found.where(F.size("item_ids") == 0), docs)
 
@@ -58,7 +57,7 @@ def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship_package(spark)
+    prepare(spark)
     return pack_documents(docs, word_tokenizer(), SEQUENCE)
 
 
