@@ -153,12 +153,13 @@ def disclosing_terms(contexts: DataFrame, texts: DataFrame, documents: int, shar
     a protected value is their pointwise mutual information,
     ``log2(documents * n(term, value) / (n(term) * n(value)))``; disclosure is
     its part of all there is to know, ``log2(documents / n(value))``, and 1
-    means the term occurs beside this value only. Contexts that are word for
-    word the same support a pair once only, so copies of one document do not.
+    means the term occurs beside this value only. Documents of one and the same
+    text support a pair once only; a line that different texts share supports
+    it once for each of them.
     """
     document = F.struct("doc_id", "text_hash")
     pairs = contexts.groupBy("value", "term").agg(
-        F.count_distinct(document).alias("n_both"), F.count_distinct("setting").alias("support")
+        F.count_distinct(document).alias("n_both"), F.count_distinct("text_hash").alias("support")
     )
     pairs = stored(pairs.where(F.col("support") >= support).drop("support"), "term-pairs")
     values = contexts.groupBy("value").agg(F.count_distinct(document).alias("n_value"))
@@ -180,7 +181,7 @@ def find_personal_data(docs: DataFrame, share: float = 0.8, support: int = 2) ->
     ``base`` holds the spans of the four patterns as ``start, kind, end,
     value``. ``terms`` holds, as ``start, kind, end, value``, the words beside
     a value that give it away: those that stand beside the same value in
-    ``support`` different contexts or more and carry ``share`` of its
+    ``support`` different texts or more and carry ``share`` of its
     information or more, by counts over all documents. A word inside a base
     span is none. ``text_hash`` tells texts of equal ids apart.
 
@@ -202,10 +203,9 @@ def find_personal_data(docs: DataFrame, share: float = 0.8, support: int = 2) ->
         .select("doc_id", "text_hash", F.explode("contexts").alias("context"))
         .select(
             "doc_id", "text_hash", F.col("context.value").alias("value"),
-            F.xxhash64(F.transform("context.terms", lambda t: t["term"])).alias("setting"),
             F.explode("context.terms").alias("near"),
         )
-        .select("doc_id", "text_hash", "value", "setting", "near.*")
+        .select("doc_id", "text_hash", "value", "near.*")
     )
     contexts = stored(contexts, "contexts")
     telling = disclosing_terms(contexts, texts, found.count(), share, support)

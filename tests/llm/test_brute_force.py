@@ -193,6 +193,14 @@ def test_terms_that_give_a_value_away(spark):
     assert "Zorbex" not in clean and "z@corp.com" not in clean and clean.startswith("alpha with <TERM>")
 
 
+def test_a_line_of_many_texts_supports_its_terms(spark):
+    rows = [(i, f"plain words {i} about nothing") for i in range(40)]
+    line = "please do all of you contact Jane Zorbex at z@corp.com today or any other day before noon"
+    rows += [(100 + i, f"{w} {w} {line} {w}") for i, w in enumerate(["alpha", "beta", "gamma"])]
+    found = pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).where("doc_id >= 100").collect()
+    assert len(found) == 3 and all("zorbex" in {t.value for t in r.terms} for r in found)
+
+
 # --- scores and tokens ----------------------------------------------------
 
 
