@@ -5,10 +5,13 @@ Only DataFrame functions: texts never leave the JVM.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusvec.llm.common import NO_ID, stored, texts_of
+from corpusvec.llm.lexicon import frequent_from
 from corpusvec.llm.membership import split_by
 
 #: The kinds in the order of their numbers.
@@ -25,15 +28,12 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 #: Words of letters, the terms that may give something away.
 TERM = r"[\p{L}]{3,}"
 
-#: Words on each side of a value that count as its context.
-WINDOW = 5
-
 
-def spans(text: Column, pattern: str) -> Column:
+def spans(text: Column, pattern: str, wanted: Callable[[Column], Column] = lambda value: F.lit(True)) -> Column:
     """Leftmost matches that do not overlap: ``start, end, value``, in code points.
 
     The gaps between matches are what splitting leaves, so places are running
-    sums of lengths.
+    sums of lengths. Only matches whose value is ``wanted`` are given.
     """
     gaps = F.split(text, pattern, -1)
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
@@ -46,14 +46,17 @@ def spans(text: Column, pattern: str) -> Column:
         F.struct(F.lit(0).alias("at"), nothing.alias("found")),
         lambda so_far, x: F.struct(
             (so_far["at"] + x["gap"] + F.char_length(x["value"])).alias("at"),
-            F.concat(
-                so_far["found"],
-                F.array(F.struct(
-                    (so_far["at"] + x["gap"]).alias("start"),
-                    (so_far["at"] + x["gap"] + F.char_length(x["value"])).alias("end"),
-                    x["value"].alias("value"),
-                )),
-            ).alias("found"),
+            F.when(
+                wanted(x["value"]),
+                F.concat(
+                    so_far["found"],
+                    F.array(F.struct(
+                        (so_far["at"] + x["gap"]).alias("start"),
+                        (so_far["at"] + x["gap"] + F.char_length(x["value"])).alias("end"),
+                        x["value"].alias("value"),
+                    )),
+                ),
+            ).otherwise(so_far["found"]).alias("found"),
         ),
     )
     return placed["found"]
@@ -123,96 +126,123 @@ def shown(found: Column) -> Column:
     )
 
 
-def terms_near(text: Column, start: Column, end: Column) -> Column:
-    """The `WINDOW` words on each side of a span: ``start, end, term``.
+def masked(text: Column, base: Column) -> Column:
+    """The text with blanks for its base spans, so that all else keeps its place."""
+    state = F.aggregate(
+        base,
+        F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts")),
+        lambda so_far, s: F.struct(
+            F.greatest(so_far["at"], s["end"]).alias("at"),
+            F.concat(
+                so_far["parts"],
+                F.array(
+                    F.substring(text, so_far["at"] + 1, F.greatest(s["start"] - so_far["at"], F.lit(0))),
+                    F.repeat(F.lit(" "), F.greatest(s["end"] - F.greatest(so_far["at"], s["start"]), F.lit(0))),
+                ),
+            ).alias("parts"),
+        ),
+    )
+    rest = F.substring(text, state["at"] + 1, F.char_length(text))
+    return F.when(F.size(base) == 0, text).otherwise(F.concat(F.array_join(state["parts"], ""), rest))
+
+
+def distinct_terms(clear: Column) -> Column:
+    """The terms of a text whose base spans are masked, each once."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(clear, F.lit(TERM), F.lit(0)), F.lower))
 
-    Words are looked for in at most 160 characters on each side; a word that
-    this cuts is not one of them.
+
+def recurring_values(found: DataFrame, documents: int, support: int) -> DataFrame:
+    """``doc_id, text_hash, first, value, n_value`` of values in ``support`` different texts or more.
+
+    No other value can have a telling term. ``first`` is 1 for one document of
+    each text and 0 for its copies.
     """
-    reach = 160
-    from_ = F.greatest(start - reach, F.lit(0))
-    before = F.concat(F.when(from_ > 0, F.lit("x")).otherwise(F.lit(" ")), F.substring(text, from_ + 1, start - from_))
-    after = F.concat(F.substring(text, end + 1, F.lit(reach)), F.when(F.char_length(text) > end + reach, F.lit("x")).otherwise(F.lit(" ")))
-
-    def words(part: Column, at: Column) -> Column:
-        return F.transform(
-            spans(part, TERM),
-            lambda s: F.struct((at + s["start"]).alias("start"), (at + s["end"]).alias("end"), F.lower(s["value"]).alias("term")),
-        )
+    held = found.where(F.size("base") > 0).select(
+        "doc_id", "text_hash", F.array_distinct(F.transform("base", lambda s: s["value"])).alias("held")
+    ).dropDuplicates(["doc_id", "text_hash"])
+    firsts = held.groupBy("text_hash").agg(F.min("doc_id").alias("doc_id")).withColumn("first", F.lit(1))
+    held = held.join(firsts, ["doc_id", "text_hash"], "left").select(
+        "doc_id", "text_hash", F.coalesce("first", F.lit(0)).alias("first"), F.explode("held").alias("value")
+    )
+    held = stored(held, "held-values")
+    values = held.groupBy("value").agg(F.count("*").alias("n_value"), F.sum("first").alias("texts"))
+    values = values.where((F.col("texts") >= support) & (F.col("n_value") < documents)).drop("texts")
+    return held.join(values, "value")
 
-    left = F.filter(words(before, from_ - 1), lambda w: w["start"] >= from_)
-    right = F.filter(words(after, end), lambda w: w["end"] <= F.least(end + reach, F.char_length(text)))
-    left = F.slice(left, F.greatest(F.size(left) - WINDOW, F.lit(0)) + 1, F.lit(WINDOW))
-    return F.concat(left, F.slice(right, 1, WINDOW))
 
+def telling_terms(held: DataFrame, clear: DataFrame, counts: DataFrame, documents: int, share: float, support: int) -> DataFrame:
+    """``doc_id, text_hash, term``: the terms of each document that give away a value it holds.
 
-def disclosing_terms(contexts: DataFrame, texts: DataFrame, documents: int, share: float, support: int) -> DataFrame:
-    """``value, term, disclosure`` of the pairs that go beyond the threshold.
+    ``held`` is as in `recurring_values`, ``clear`` has the masked text of each
+    of its documents once, ``counts`` is ``term, n`` over all documents.
 
     Documents are counted, not occurrences. The information a term carries on
     a protected value is their pointwise mutual information,
-    ``log2(documents * n(term, value) / (n(term) * n(value)))``; disclosure is
-    its part of all there is to know, ``log2(documents / n(value))``, and 1
-    means the term occurs beside this value only. Documents of one and the same
-    text support a pair once only; a line that different texts share supports
-    it once for each of them.
+    ``log2(documents * n(term, value) / (n(term) * n(value)))``; a term is
+    telling if that is ``share`` or more of all there is to know,
+    ``log2(documents / n(value))``, and all of it means the term occurs with
+    this value only. Documents of one and the same text support a pair once
+    only; a line that different texts share supports it once for each of them.
+
+    As ``n(term, value)`` is at most ``n(value)``, a term of more than
+    ``documents^(1 - share) * n(value)^share`` documents is never telling, and
+    frequent ones are left out by that before pairs are made.
     """
-    document = F.struct("doc_id", "text_hash")
-    pairs = contexts.groupBy("value", "term").agg(
-        F.count_distinct(document).alias("n_both"), F.count_distinct("text_hash").alias("support")
+    least = frequent_from(counts)
+    frequent = counts.where(F.col("n") >= least).select("term", F.col("n").alias("n_frequent"))
+    rare = counts.where(F.col("n") < least).select("term", F.col("n").alias("n_term"))
+    terms = clear.select("doc_id", "text_hash", F.explode(distinct_terms(F.col("clear"))).alias("term"))
+    bound = F.pow(F.lit(float(documents)), F.lit(1 - share)) * F.pow(F.col("n_value").cast("double"), F.lit(share))
+    beside = (
+        terms.join(F.broadcast(frequent), "term", "left").join(held, ["doc_id", "text_hash"])
+        .where(F.col("n_frequent").isNull() | (F.col("n_frequent") <= bound * (1 + 1e-9)))
+    )
+    beside = stored(beside.select("doc_id", "text_hash", "first", "value", "n_value", "term", "n_frequent"), "beside-values")
+    pairs = beside.groupBy("value", "term").agg(
+        F.count("*").alias("n_both"), F.sum("first").alias("support"),
+        F.first("n_value").alias("n_value"), F.first("n_frequent").alias("n_frequent"),
     )
     pairs = stored(pairs.where(F.col("support") >= support).drop("support"), "term-pairs")
-    values = contexts.groupBy("value").agg(F.count_distinct(document).alias("n_value"))
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))
-    # Counted in each task before they move; a term of every text is no burden.
-    n_term = texts.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
+    known = pairs.where("n_frequent is not null").withColumnRenamed("n_frequent", "n_term")
+    others = pairs.where("n_frequent is null").drop("n_frequent").join(rare, "term")
     information = F.log2(documents * F.col("n_both") / (F.col("n_term") * F.col("n_value")))
-    all_of_it = F.log2(documents / F.col("n_value"))
-    return (
-        pairs.join(values, "value").join(n_term, "term")
-        .where((all_of_it > 0) & (information >= share * all_of_it))
-        .select("value", "term", (information / all_of_it).alias("disclosure"))
-    )
+    telling = known.unionByName(others).where(information >= share * F.log2(documents / F.col("n_value"))).select("value", "term")
+    return beside.join(telling, ["value", "term"]).select("doc_id", "text_hash", "term")
 
 
 def find_personal_data(docs: DataFrame, share: float = 0.8, support: int = 2) -> DataFrame:
     """``doc_id, text_hash, base, terms`` of every row of ``docs``.
 
     ``base`` holds the spans of the four patterns as ``start, kind, end,
-    value``. ``terms`` holds, as ``start, kind, end, value``, the words beside
-    a value that give it away: those that stand beside the same value in
-    ``support`` different texts or more and carry ``share`` of its
-    information or more, by counts over all documents. A word inside a base
-    span is none. ``text_hash`` tells texts of equal ids apart.
+    value``. ``terms`` holds, as ``start, kind, end, value``, every occurrence
+    of the words that give away a value which the same text holds, wherever in
+    the text: those that stand with the value in ``support`` different texts or
+    more and carry ``share`` of its information or more, by counts over all
+    documents. What is inside a base span is no word. ``text_hash`` tells texts
+    of equal ids apart.
 
     Null and empty texts have no spans. Rows with equal id and text count as
     one document and each get its spans; an empty table gives none.
     """
     texts = texts_of(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID))).withColumn("text_hash", F.xxhash64("text"))
-    found = texts.select("doc_id", "text_hash", "text", protected_spans(F.col("text")).alias("base"))
-
-    def context(span: Column) -> Column:
-        near = terms_near(F.col("text"), span["start"], span["end"])
-        clear = F.filter(near, lambda t: F.forall("base", lambda s: (s["end"] <= t["start"]) | (s["start"] >= t["end"])))
-        return F.struct(span["value"].alias("value"), clear.alias("terms"))
-
-    found = found.withColumn("contexts", F.transform("base", context))
-    found = stored(found.drop("text"), "protected")
-    contexts = (
-        found.where(F.size("base") > 0).distinct()
-        .select("doc_id", "text_hash", F.explode("contexts").alias("context"))
-        .select(
-            "doc_id", "text_hash", F.col("context.value").alias("value"),
-            F.explode("context.terms").alias("near"),
-        )
-        .select("doc_id", "text_hash", "value", "near.*")
-    )
-    contexts = stored(contexts, "contexts")
-    telling = disclosing_terms(contexts, texts, found.count(), share, support)
-    marked = (
-        contexts.join(telling, ["value", "term"])
-        .groupBy("doc_id", "text_hash")
-        .agg(F.array_sort(F.collect_set(F.struct("start", F.lit(4).alias("kind"), "end", F.col("term").alias("value")))).alias("terms"))
+    with_base = texts.withColumn("base", protected_spans(F.col("text")))
+    found = stored(with_base.drop("text"), "protected")
+    documents = found.count()
+    held = stored(recurring_values(found, documents, support), "recurring-values")
+    clear = with_base.select("doc_id", "text_hash", masked(F.col("text"), F.col("base")).alias("clear"))
+    # Counted in each task before they move; a term of every text is no burden.
+    counts = clear.select(F.explode(distinct_terms(F.col("clear"))).alias("term")).groupBy("term").agg(F.count("*").alias("n"))
+    counts = stored(counts, "term-counts")
+    few, _ = split_by(texts, held.select("doc_id"), "doc_id")
+    few = few.join(held.select("doc_id", "text_hash").distinct(), ["doc_id", "text_hash"], "left_semi").dropDuplicates(["doc_id", "text_hash"])
+    few = few.withColumn("base", protected_spans(F.col("text")))
+    few = stored(few.select("doc_id", "text_hash", masked(F.col("text"), F.col("base")).alias("clear")), "holders")
+    telling = telling_terms(held, few, counts, documents, share, support)
+    telling = telling.groupBy("doc_id", "text_hash").agg(F.collect_set("term").alias("telling"))
+    places = spans(F.col("clear"), TERM, lambda value: F.array_contains("telling", F.lower(value)))
+    marked = few.join(telling, ["doc_id", "text_hash"]).select(
+        "doc_id", "text_hash",
+        F.transform(places, lambda s: F.struct(s["start"], F.lit(4).alias("kind"), s["end"], F.lower(s["value"]).alias("value"))).alias("terms"),
     )
     nothing = F.array().cast("array<struct<start:int,kind:int,end:int,value:string>>")
     return found.join(marked, ["doc_id", "text_hash"], "left").select(

@@ -201,6 +201,20 @@ def test_a_line_of_many_texts_supports_its_terms(spark):
     assert len(found) == 3 and all("zorbex" in {t.value for t in r.terms} for r in found)
 
 
+def test_telling_terms_go_everywhere_in_the_text(spark):
+    filler = "one two three four five six seven eight nine ten eleven twelve " * 20
+    rows = [(i, filler + f"words {i}") for i in range(40)]
+    # Beside the value, far from it, and never within reach of it.
+    rows += [(100 + i, f"Zorbex z@corp.com {filler} zorbex {filler} Quuxly{' ' * 200}{w}") for i, w in enumerate(["alpha", "beta", "gamma"])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.terms for r in pii.find_personal_data(df).collect()}
+    for doc_id, text in rows:
+        want = [(m.start(), m.end()) for m in re.finditer("(?i)zorbex|quuxly", text)]
+        assert [(t.start, t.end) for t in found[doc_id]] == want
+    clean = pii.sanitise(df).where("doc_id = 101").first().text
+    assert not re.search("(?i)zorbex|quuxly|corp", clean) and clean.endswith("beta")
+
+
 # --- scores and tokens ----------------------------------------------------
 
 
