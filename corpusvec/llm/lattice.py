@@ -17,8 +17,8 @@ SPACE = "▁"
 RANK_OFFSET = 2.7
 #: Pieces that the vocabulary's own scores count as beside the corpus.
 PRIOR = 100.0
-#: Characters of a word that are learned from at once.
-PART = 32
+#: Where a word's probability is less, its double may have lost digits on the way.
+SMALL = 1e-250
 
 
 def vocabulary_weights(path: str) -> dict[str, float]:
@@ -86,37 +86,71 @@ class Lattice:
     def expect(self, word: str, into: dict[str, float]) -> None:
         """Add how often each piece occurs in a word, over all segmentations.
 
-        In parts of `PART` characters, whose probabilities a double can hold.
+        In log space where a double can't hold the word's probability.
         """
         plain, longest = self.plain, self.longest
-        for start in range(0, max(1, len(word)), PART):
-            text = (SPACE if start == 0 else "") + word[start : start + PART]
-            size = len(text)
-            mass, back = [0.0] * (size + 1), [0.0] * (size + 1)
-            mass[0] = back[size] = 1.0
-            leaving = []
-            for i in range(size):
-                here, arcs = mass[i], []
-                for j in range(i + 1, min(size, i + longest) + 1):
-                    piece = text[i:j]
-                    p = plain.get(piece)
-                    if p is not None:
-                        mass[j] += here * p
-                        arcs.append((j, p, piece))
-                if not arcs or arcs[0][0] != i + 1:
-                    spelt = math.exp(self.byte * len(text[i].encode("utf-8", "surrogatepass")))
-                    mass[i + 1] += here * spelt
-                    arcs.append((i + 1, spelt, None))
-                leaving.append(arcs)
-            whole = mass[size]
-            for i in range(size - 1, -1, -1):
-                total, before = 0.0, mass[i] / whole
-                for j, p, piece in leaving[i]:
-                    through = p * back[j]
-                    total += through
-                    if piece is not None:
-                        into[piece] = into.get(piece, 0.0) + before * through
-                back[i] = total
+        text = SPACE + word
+        size = len(text)
+        mass, back = [0.0] * (size + 1), [0.0] * (size + 1)
+        mass[0] = back[size] = 1.0
+        leaving = []
+        for i in range(size):
+            here, arcs = mass[i], []
+            if here == 0.0:
+                break
+            for j in range(i + 1, min(size, i + longest) + 1):
+                piece = text[i:j]
+                p = plain.get(piece)
+                if p is not None:
+                    mass[j] += here * p
+                    arcs.append((j, p, piece))
+            if not arcs or arcs[0][0] != i + 1:
+                spelt = math.exp(self.byte * len(text[i].encode("utf-8", "surrogatepass")))
+                mass[i + 1] += here * spelt
+                arcs.append((i + 1, spelt, None))
+            leaving.append(arcs)
+        whole = mass[size]
+        if whole < SMALL:
+            return self.expect_in_logs(text, into)
+        for i in range(size - 1, -1, -1):
+            total, before = 0.0, mass[i] / whole
+            for j, p, piece in leaving[i]:
+                through = p * back[j]
+                total += through
+                if piece is not None:
+                    into[piece] = into.get(piece, 0.0) + before * through
+            back[i] = total
+
+    def expect_in_logs(self, text: str, into: dict[str, float]) -> None:
+        """`expect` of a word of any length and any probability."""
+        log, longest = self.log, self.longest
+        size = len(text)
+        mass, back = [-math.inf] * (size + 1), [-math.inf] * (size + 1)
+        mass[0] = back[size] = 0.0
+
+        def added(a: float, b: float) -> float:
+            most = max(a, b)
+            return most if most == -math.inf else most + math.log1p(math.exp(min(a, b) - most))
+
+        leaving = []
+        for i in range(size):
+            arcs = []
+            for j in range(i + 1, min(size, i + longest) + 1):
+                p = log.get(text[i:j])
+                if p is not None:
+                    arcs.append((j, p, text[i:j]))
+            if not arcs or arcs[0][0] != i + 1:
+                arcs.append((i + 1, self.byte * len(text[i].encode("utf-8", "surrogatepass")), None))
+            for j, p, _ in arcs:
+                mass[j] = added(mass[j], mass[i] + p)
+            leaving.append(arcs)
+        whole = mass[size]
+        for i in range(size - 1, -1, -1):
+            for j, p, piece in leaving[i]:
+                through = p + back[j]
+                back[i] = added(back[i], through)
+                if piece is not None:
+                    into[piece] = into.get(piece, 0.0) + math.exp(mass[i] + through - whole)
 
 
 def learned_weights(counts: DataFrame, path: str, rounds: int) -> dict[str, float]:

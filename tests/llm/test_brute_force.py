@@ -256,6 +256,20 @@ def test_expected_pieces_spell_the_word():
         assert math.isclose(sum(len(p) * n for p, n in found.items()), len(word) + 1, rel_tol=1e-6)
 
 
+def test_expected_pieces_of_very_unlikely_words():
+    model = lattice.Lattice(lattice.vocabulary_weights(piece_vocabulary()))
+    letter = next(c for c in map(chr, range(0x1200, 0x1380)) if c not in model.log)
+    found = {}
+    model.expect("the" + letter * 200 + "house", found)
+    assert math.isclose(sum(len(p) * n for p, n in found.items()), len("▁thehouse"), rel_tol=1e-6)
+    # One word, whatever its length: pieces across its 32nd character count.
+    long, logs = {}, {}
+    model.expect("x" * 30 + "house", long)
+    model.expect_in_logs("▁" + "x" * 30 + "house", logs)
+    assert long.keys() == logs.keys() and all(math.isclose(long[p], logs[p], rel_tol=1e-6, abs_tol=1e-12) for p in long)
+    assert long["house"] > 0.1
+
+
 def test_weights_learned_from_words_fit_them_better(spark):
     own = lattice.vocabulary_weights(piece_vocabulary())
     counts = spark.createDataFrame([(w.encode(), 1, 1) for w in ("banana", "bandana", "panama")], "unit binary, n long, n_train long")
