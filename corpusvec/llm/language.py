@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,11 +17,14 @@ UNKNOWN = "und"
 #: long texts are parsed block by block, side by side with others.
 BLOCK = 1024
 SPACE, OTHER = 0, 1
+#: Most letters that have a column of their own in the table of transitions; all
+#: others are looked up among the transitions there are.
+COLUMNS = 250
 
 
 def symbol_table(letters: str) -> np.ndarray:
-    """A symbol for every code point: 0 no letter, 1 a letter not in ``letters``."""
-    table = np.zeros(0x110000, dtype=np.uint8)
+    """A symbol for every code point: 0 no letter, 1 a letter not in ``letters``, or one of its own."""
+    table = np.zeros(0x110000, dtype=np.int32)
     alphabetic = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000 and chr(c).isalpha()]
     table[alphabetic] = OTHER
     for i, letter in enumerate(letters):
@@ -36,9 +40,12 @@ def symbols(text: str, table: np.ndarray) -> np.ndarray:
     return found[~((found == SPACE) & after_space)]
 
 
-def automaton(sequence: np.ndarray, width: int) -> np.ndarray:
+def automaton(sequence: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Transitions of the suffix automaton of ``sequence``; -1 where there is none.
 
+    Symbols below ``width`` are columns of the first array; those of the others
+    are keys, ``state << 21 | symbol``, in order and the states they lead to.
+
     A walk from state 0 stays inside the automaton as long as what it has read
     occurs in the sequence.
     """
@@ -68,10 +75,24 @@ def automaton(sequence: np.ndarray, width: int) -> np.ndarray:
                 link[q] = link[here] = twin
         last = here
     table = np.full((len(moves), width), -1, dtype=np.int32)
+    edges = []
     for state, out in enumerate(moves):
         for c, to in out.items():
-            table[state, c] = to
-    return table
+            if c < width:
+                table[state, c] = to
+            else:
+                edges.append((state << 21 | c, to))
+    keys = np.array(sorted(edges), dtype=np.int64).reshape(-1, 2)
+    return table, keys[:, 0].copy(), keys[:, 1].copy()
+
+
+def follow(keys: np.ndarray, to: np.ndarray, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+    """Where transitions that have no column lead; -1 where there is none."""
+    if not len(keys):
+        return np.full(len(state), -1, dtype=np.int64)
+    wanted = state.astype(np.int64) << 21 | symbol
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return np.where(keys[at] == wanted, to[at], -1)
 
 
 def parser(table: np.ndarray) -> np.ndarray:
@@ -82,7 +103,7 @@ def parser(table: np.ndarray) -> np.ndarray:
     """
     states = np.arange(len(table))[:, None]
     from_start = table[0][None, :]
-    ended = np.where(table >= 0, 0, (states > 0) + (from_start < 0)).astype(np.int32)
+    ended = np.where(table >= 0, 0, (states > 0).astype(np.int32) + (from_start < 0)).astype(np.int32)
     to = np.where(table >= 0, table, np.maximum(from_start, 0))
     return (4 * to + ended).astype(np.int32)
 
@@ -92,13 +113,15 @@ class Languages:
 
     def __init__(self, samples: dict[str, str]) -> None:
         self.names = sorted(samples)
-        seen = sorted({c for text in samples.values() for c in text.lower() if c.isalpha()})
-        # One byte a symbol; letters beyond that count as unseen.
-        self.table = symbol_table("".join(seen[:250]))
-        width = min(len(seen), 250) + 2
+        seen = Counter(c for text in samples.values() for c in text.lower() if c.isalpha())
+        letters = sorted(seen, key=lambda c: (-seen[c], c))
+        self.table = symbol_table("".join(letters))
+        width = min(len(letters), COLUMNS) + 2
         coded = [symbols(samples[name], self.table) for name in self.names]
         self.width = width
-        self.moves = [parser(automaton(c, width)).ravel() for c in coded]
+        automata = [automaton(c, width) for c in coded]
+        self.moves = [parser(table).ravel() for table, _, _ in automata]
+        self.edges = [(keys, to) for _, keys, to in automata]
         self.bits = np.array([np.log2(len(c) + 2) for c in coded])
 
     def phrases(self, coded: list[np.ndarray]) -> np.ndarray:
@@ -119,17 +142,34 @@ class Languages:
             lanes[: len(blocks[at]), lane] = blocks[at]
         active = len(blocks) - np.searchsorted(sizes[::-1], np.arange(sizes[0]), side="right")
         owners = np.array(owner)[order]
+        rare = (lanes >= self.width).any(axis=1)
         for k, moves in enumerate(self.moves):
             state = np.zeros(len(blocks), dtype=np.int32)
             ended = np.zeros(len(blocks), dtype=np.int32)
             for step, n in enumerate(active):
-                step_to = moves[state[:n] * self.width + lanes[step, :n]]
+                symbol = lanes[step, :n]
+                if rare[step]:
+                    step_to = self.step(k, state[:n], symbol)
+                else:
+                    step_to = moves[state[:n] * self.width + symbol]
                 state[:n] = step_to >> 2
                 ended[:n] += step_to & 3
             ended += state > 0
             counts[:, k] = np.bincount(owners, weights=ended, minlength=len(coded))
         return counts
 
+    def step(self, k: int, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        """One step of `parser` where some symbols have no column."""
+        has_column = symbol < self.width
+        out = self.moves[k][state * self.width + np.where(has_column, symbol, 0)]
+        at = np.flatnonzero(~has_column)
+        from_, c = state[at], symbol[at]
+        to = follow(*self.edges[k], from_, c)
+        start = follow(*self.edges[k], np.zeros_like(from_), c)
+        ended = np.where(to >= 0, 0, (from_ > 0).astype(np.int64) + (start < 0))
+        out[at] = 4 * np.where(to >= 0, to, np.maximum(start, 0)) + ended
+        return out
+
     def predict(self, texts: list[str]) -> list[tuple[str, float]]:
         coded = [symbols(t, self.table) for t in texts]
         cost = self.phrases(coded) * self.bits

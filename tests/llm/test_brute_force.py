@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from corpusvec.llm import decontamination, lattice, packing, pii, repeats
-from corpusvec.llm.language import identify_language
+from corpusvec.llm.language import Languages, identify_language, symbols
 from corpusvec.llm.minhash import near_duplicates
 from corpusvec.llm.queries import QUERIES, piece_vocabulary, word_tokenizer
 from corpusvec.llm.vectors import near_vectors
@@ -444,6 +444,35 @@ def test_fewest_phrases(spark):
         assert r.lang_pred == min(sorted(costs), key=costs.get)
 
 
+def test_every_letter_keeps_its_identity():
+    """Samples of many more letters than the table of transitions has columns."""
+    rng = random.Random(5)
+    latin, cyrillic = "abcdefghijklmnopqrstuvwxyz", "".join(map(chr, range(0x430, 0x450)))
+
+    def sample(first, extra):
+        letters = [chr(first + i) for i in range(400)]
+        return "".join(rng.choice(letters) if rng.random() < 0.8 else rng.choice(extra) for _ in range(3000))
+
+    # Tests come from both: a tie would go to "a".
+    samples = {"a": sample(0xAC00, latin), "b": sample(0xB000, cyrillic), "c": sample(0x4E00, latin), "d": sample(0x6000, latin)}
+    model = Languages(samples)
+    texts = {k: t[100:200] for k, t in samples.items()}
+    assert {k: model.predict([t])[0][0] for k, t in texts.items()} == {k: k for k in samples}
+    mixed = [samples["a"][50:60] + samples["b"][9:30] + "\u3042\u3044z" + samples["c"][7:40], samples["d"][0:30] + samples["c"][5:9]]
+
+    def phrases(text, own):
+        n = at = 0
+        while at < len(text):
+            end = at + 1
+            while end < len(text) and text[at : end + 1] in own:
+                end += 1
+            n, at = n + 1, end
+        return n
+
+    got = model.phrases([symbols(t, model.table) for t in mixed])
+    assert got.tolist() == [[phrases(t, samples[k]) for k in sorted(samples)] for t in mixed]
+
+
 def test_pages(spark):
     pages = dict(duckdb.sql(f"select page_id, html from '{SF}/pages.parquet'").fetchall())
     for r in rows_of(spark, "op5_html_extraction"):
