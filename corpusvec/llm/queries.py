@@ -15,8 +15,11 @@ from corpusvec.llm.lattice import score_texts
 from corpusvec.llm.minhash import near_duplicates
 from corpusvec.llm.oracles import ORACLES  # noqa: F401
 from corpusvec.llm.packing import pack_documents
+from corpusvec.llm.periodic_runs import collapse_runs
 from corpusvec.llm.pii import KINDS, find_personal_data, shown
+from corpusvec.llm.quality import judge_documents
 from corpusvec.llm.repeats import remove_repeats
+from corpusvec.llm.source_divergence import source_divergence
 from corpusvec.llm.token_counts import token_counts
 from corpusvec.llm.vectors import near_vectors
 from corpusvec.session import ship_package
@@ -130,3 +133,46 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = identify_language(docs, docs.where(fold(F.col("doc_id"), 5) != 0))
     held_out = (fold(F.col("doc_id"), 5) == 0).alias("held_out")
     return found.select("doc_id", held_out, "lang_pred", "score")
+
+
+def with_planted_run(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``; in a tenth of the documents, by crc32 of the id, the words from some place on repeat."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    split = docs.select(
+        "doc_id", "text", (h % 10 == 0).alias("chosen"), F.floor(h / 10).cast("long").alias("g"),
+        F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "").alias("words"),
+    )
+    n = F.size("words")
+    placed = split.withColumn("a", F.when(n > 0, F.col("g") % n).cast("int")).withColumn(
+        "p", F.expr("cast(1 + (size(words) - a) div (3 + g % 8) as int)")
+    )
+    tail = F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), F.ceil((n - F.col("a")) / F.col("p")).cast("int")))
+    repeated = F.concat(F.slice("words", F.lit(1), F.col("a")), F.slice(tail, F.lit(1), n - F.col("a")))
+    return placed.select("doc_id", F.when(F.col("chosen") & (n > 0), F.array_join(repeated, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = collapse_runs(with_planted_run(table(spark, sf_dir, "documents")), least=6, times=4)
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    every = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    # Greatest length, then smallest start, then smallest period.
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], (-r["start"]).alias("s"), (-r["period"]).alias("p"))))
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), every.alias("every"), "text").select(
+        "doc_id", "n_runs", (-F.col("best.s")).alias("start"), F.col("best.length").alias("length"), (-F.col("best.p")).alias("period"),
+        F.expr("1000 * best.length div -best.p").alias("exponent_milli"),
+        F.sha2("every", 256).alias("runs_sha256"), F.sha2("text", 256).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(table(spark, sf_dir, "documents"), least=10, top=10)
+
+
+@query
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = judge_documents(table(spark, sf_dir, "documents"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "host_failed"
+    )
