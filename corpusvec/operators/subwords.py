@@ -11,11 +11,13 @@ import heapq
 from collections import ChainMap
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusvec.operators import merges as merges_of
 from corpusvec.session import materialize, spread_work
 
 # Fixed value: the published pre-split pattern of the GPT-4 vocabulary.
@@ -32,8 +34,10 @@ MEMO_PIECES = 1 << 18
 
 BYTE_TOKENS = 256
 
-# Two symbols side by side, in hex.
-Pair = tuple[str, str]
+# Merges that a pass over the pieces replays at most, before they are written anew.
+REPLAYED = 512
+# Pairs for whose pieces a round of learning is worth fetching them.
+FETCHED_PAIRS = 8
 
 
 def pieces_of(text: Column) -> Column:
@@ -43,9 +47,8 @@ def pieces_of(text: Column) -> Column:
 
 # --- learning -------------------------------------------------------------
 #
-# While learning, a piece is written as one <hex> per symbol. Replacing
-# "<61><62>" by "<6162>" then merges a pair from left to right without
-# overlaps, which Spark's string replace does inside generated code.
+# For counting, a piece is written as one <hex> per symbol, which Spark splits
+# inside generated code. Learning has a number for each symbol.
 
 
 def piece_symbols(word_counts: DataFrame) -> DataFrame:
@@ -82,95 +85,164 @@ def pair_counts(symbols: DataFrame) -> DataFrame:
     )
 
 
-def merge_pair(symbols: Column, left: str, right: str) -> Column:
-    return F.replace(symbols, F.lit(f"<{left}><{right}>"), F.lit(f"<{left}{right}>"))
+def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Symbols, their pieces and the pieces' frequencies of rows ``(symbols BINARY, frequency)``."""
+    held = batch.column(0).cast(pa.large_binary())
+    _, offsets, data = held.buffers()
+    ends = np.frombuffer(offsets, np.int64)[held.offset : held.offset + len(held) + 1]
+    symbols = np.frombuffer((data or pa.py_buffer(b"")).slice(ends[0], ends[-1] - ends[0]), "<i4")
+    piece = np.repeat(np.arange(len(held)), np.diff(ends) // 4)
+    return symbols, piece, batch.column(1).to_numpy(zero_copy_only=False)
 
 
-def pair_changes(symbols: DataFrame, merges: list[Pair]) -> list[dict[Pair, int]]:
-    """How the pair counts change with each of ``merges`` in turn.
+def _rows(symbols: np.ndarray, piece: np.ndarray, frequency: np.ndarray) -> pa.RecordBatch:
+    """The same pieces as rows again."""
+    ends = np.concatenate([[0], np.cumsum(np.bincount(piece, minlength=len(frequency)))]) * 4
+    data = pa.py_buffer(np.ascontiguousarray(symbols, "<i4"))
+    held = pa.Array.from_buffers(pa.large_binary(), len(frequency), [None, pa.py_buffer(ends.astype(np.int64)), data])
+    return pa.RecordBatch.from_arrays([held.cast(pa.binary()), pa.array(frequency, pa.int64())], names=["symbols", "frequency"])
 
-    One pass over the pieces that hold any of them; a task sums its changes
-    before they move, so what reaches the driver grows with the vocabulary.
-    """
-    steps = [(f"<{a}><{b}>", f"<{a}{b}>") for a, b in merges]
 
-    def change(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[tuple[int, str, str], int] = {}
+Step = tuple[merges_of.Pair, int]
+
+
+def _replayed(state: DataFrame, log: list[Step], then, schema: str) -> DataFrame:
+    """``then(symbols, piece, frequency)`` of the pieces, once the merges of ``log`` are made."""
+    log = list(log)
+
+    def replay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for text, frequency in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                for step, (old, new) in enumerate(steps):
-                    if old not in text:
-                        continue
-                    merged = text.replace(old, new)
-                    for sign, state in ((-frequency, text), (frequency, merged)):
-                        parts = state[1:-1].split("><")
-                        for left, right in zip(parts, parts[1:]):
-                            key = (step, left, right)
-                            found[key] = found.get(key, 0) + sign
-                    text = merged
-        rows = [(*key, n) for key, n in found.items() if n]
-        step, left, right, n = zip(*rows) if rows else ((), (), (), ())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(step, pa.int32()), pa.array(left, pa.string()), pa.array(right, pa.string()), pa.array(n, pa.int64())],
-            names=["step", "left", "right", "n"],
-        )
+            symbols, piece, frequency = _flat(batch)
+            for pair, merged in log:
+                symbols, piece, _ = merges_of.merge(symbols, piece, pair, merged)
+            yield then(symbols, piece, frequency)
+
+    return state.mapInArrow(replay, schema)
+
 
-    changed = symbols.select("symbols", "frequency").mapInArrow(change, "step int, left string, right string, n long")
-    out: list[dict[Pair, int]] = [{} for _ in merges]
-    for r in changed.groupBy("step", "left", "right").agg(F.sum("n").alias("n")).where("n <> 0").collect():
-        out[r["step"]][r["left"], r["right"]] = r["n"]
-    return out
+PIECE_ROWS = "symbols binary, frequency long"
+CHANGES = "step int, left int, right int, n long, places long"
+
+
+def _change_rows(changes: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+    step = np.repeat(np.arange(len(changes)), [len(c[0]) for c in changes])
+    left, right, n, places = (np.concatenate(c) for c in zip(*changes))
+    kinds = {"step": pa.int32(), "left": pa.int32(), "right": pa.int32(), "n": pa.int64(), "places": pa.int64()}
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c).cast(t) for c, t in zip((step, left, right, n, places), kinds.values())], names=list(kinds)
+    )
+
+
+def _collected(changes: DataFrame, steps: int) -> list[tuple[np.ndarray, ...]]:
+    """Sums of changes for each step, added up in Spark."""
+    rows = changes.groupBy("step", "left", "right").agg(F.sum("n").alias("n"), F.sum("places").alias("places"))
+    table = rows.where("n <> 0 OR places <> 0").toArrow()
+    step, *columns = (table.column(c).to_numpy() for c in ("step", "left", "right", "n", "places"))
+    return [tuple(c[step == k] for c in columns) for k in range(steps)]
 
 
 def learn_vocabulary(
-    word_counts: DataFrame, merges: int, merges_per_round: int = 32
+    word_counts: DataFrame, merges: int, merges_per_round: int = 32, pieces_per_round: int = 1 << 18
 ) -> DataFrame:
     """Vocabulary of the 256 bytes and up to ``merges`` merged pairs.
 
     The rule is the textbook one: merge the most frequent pair, ties to the
-    smaller in byte order, count again. Pairs are counted once; after that a
-    round guesses the next merges, ``merges_per_round`` at most, asks in one
-    pass for the exact change of all counts with each of them, and keeps
-    merges as long as each was indeed the best of the counts at its turn. The
-    number of guesses changes how many rounds there are, never the result.
-
-    The driver holds the pieces' pair counts, whose number is bounded by the
+    smaller in byte order, count again. Pairs are counted once; after that
+    rounds of two kinds make merges and keep the sums of all pairs exact.
+
+    * While the best pairs are in very many pieces, a round guesses the next
+      merges, ``merges_per_round`` at most, asks the pieces in one pass for the
+      change of all sums with each of them, and keeps merges as long as each
+      was indeed the best at its turn.
+    * Once a few of the best pairs are together in no more than
+      ``pieces_per_round`` pieces, a round fetches the pieces that hold any of
+      as many of the best pairs as that allows, and merges in those alone. It
+      goes on as long as the best pair is one of these, or has a symbol made in
+      this round, since all of its places are then in the pieces at hand.
+
+    Neither number changes the result. The pieces stay in Spark; merges made
+    since they were last written are replayed over them. The driver holds the
+    pieces of a round, and the sums of pairs, whose number is bounded by the
     square of the vocabulary's size, which is a parameter.
     """
-    state = materialize(piece_symbols(word_counts))
-    counts: dict[Pair, int] = {(r["left"], r["right"]): r["frequency"] for r in pair_counts(state).collect()}
-
-    def order(pair: Pair) -> tuple[int, str, str]:
-        return -counts[pair], *pair
-
-    found: dict[str, int] = {}
-    done = on_plan = 0
-    while done < merges and counts:
-        # A pair that overlaps a better one loses by its merge and waits.
-        guesses: list[Pair] = []
-        lefts, rights = set(), set()
-        for pair in heapq.nsmallest(8 * merges_per_round, counts, key=order):
-            if len(guesses) < min(merges_per_round, merges - done) and pair[0] not in rights and pair[1] not in lefts:
-                guesses.append(pair)
-                lefts.add(pair[0])
-                rights.add(pair[1])
-        for pair, changes in zip(guesses, pair_changes(state, guesses)):
-            if min(counts, key=order) != pair:
-                break
-            for other, n in changes.items():
-                counts[other] = counts.get(other, 0) + n
-                if not counts[other]:
-                    del counts[other]
-            token = "".join(pair)
-            found.setdefault(token, BYTE_TOKENS + len(found))
-            state = state.withColumn("symbols", merge_pair(F.col("symbols"), *pair))
-            done, on_plan = done + 1, on_plan + 1
-            if not counts:
-                break
-        if on_plan >= 32 and done < merges:
-            # Keep the chain of replaces, and what a lost task redoes, short.
-            state, on_plan = materialize(state), 0
-    return vocabulary_from(word_counts.sparkSession, found)
+    pieces = word_counts.select(F.explode(pieces_of(F.col("word"))).alias("piece"), "frequency")
+    counted = spread_work(pieces.groupBy("piece").agg(F.sum("frequency").alias("frequency")), "piece")
+    state = materialize(counted.select(F.col("piece").cast("binary").alias("symbols"), "frequency").mapInArrow(_as_symbols, PIECE_ROWS))
+    names = [f"{b:02x}" for b in range(BYTE_TOKENS)]
+    numbers = {name: k for k, name in enumerate(names)}
+    queue = merges_of.PairQueue(names)
+    first = _replayed(state, [], lambda s, p, f: _change_rows([merges_of.pair_sums(s, p, f)]), CHANGES)
+    queue.change(*_collected(first, 1)[0])
+    log: list[Step] = []
+    done = 0
+
+    def symbol_of(pair: merges_of.Pair) -> int:
+        name = names[pair[0]] + names[pair[1]]
+        if name not in numbers:
+            numbers[name] = len(names)
+            names.append(name)
+        return numbers[name]
+
+    while done < merges and queue.best() is not None:
+        hot = queue.best_of(merges - done, pieces_per_round)
+        made = len(log)
+        if len(hot) >= min(FETCHED_PAIRS, merges_per_round, merges - done):
+            codes = merges_of.pair_codes(hot)
+
+            def holding(symbols, piece, frequency, codes=codes):
+                held = merges_of.holds_any(symbols, piece, codes, len(frequency))
+                place, stays = np.cumsum(held) - 1, held[piece]
+                return _rows(symbols[stays], place[piece[stays]], frequency[held])
+
+            fetched = _replayed(state, log, holding, PIECE_ROWS).toArrow().combine_chunks().to_batches()
+            symbols, piece, frequency = _flat(fetched[0]) if fetched else (np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64))
+            covered, oldest = set(hot), len(names)
+            while done < merges and (pair := queue.best()) is not None and (pair in covered or max(pair) >= oldest):
+                log.append((pair, symbol_of(pair)))
+                symbols, piece, changes = merges_of.merge_with_changes(symbols, piece, frequency, *log[-1])
+                queue.change(*changes)
+                done += 1
+        else:
+            # A pair that overlaps a better one loses by its merge and waits.
+            guesses: list[merges_of.Pair] = []
+            lefts, rights = set(), set()
+            for pair in queue.best_of(8 * merges_per_round, 1 << 62):
+                if len(guesses) < min(merges_per_round, merges - done) and pair[0] not in rights and pair[1] not in lefts:
+                    guesses.append(pair)
+                    lefts.add(pair[0])
+                    rights.add(pair[1])
+            # Names of guesses that come to nothing are given back below.
+            known = len(names)
+            steps = [(pair, symbol_of(pair)) for pair in guesses]
+
+            def changed(symbols, piece, frequency, steps=steps):
+                out = []
+                for pair, merged in steps:
+                    symbols, piece, changes = merges_of.merge_with_changes(symbols, piece, frequency, pair, merged)
+                    out.append(changes)
+                return _change_rows(out)
+
+            for step, changes in zip(steps, _collected(_replayed(state, log, changed, CHANGES), len(steps))):
+                if queue.best() != step[0]:
+                    break
+                log.append(step)
+                queue.change(*changes)
+                done += 1
+            kept = max([known - 1, *(merged for _, merged in log[made:])]) + 1
+            for name in names[kept:]:
+                del numbers[name]
+            del names[kept:]
+        if len(log) >= REPLAYED and done < merges:
+            # What each pass replays, and a lost task redoes, stays short.
+            state, log = materialize(_replayed(state, log, _rows, PIECE_ROWS)), []
+    return vocabulary_from(word_counts.sparkSession, {name: k for k, name in enumerate(names) if k >= BYTE_TOKENS})
+
+
+def _as_symbols(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bytes as symbols of four bytes each."""
+    for batch in batches:
+        held = [np.frombuffer(piece, np.uint8).astype("<i4").tobytes() for piece in batch.column(0).to_pylist()]
+        yield pa.RecordBatch.from_arrays([pa.array(held, pa.binary()), batch.column(1)], names=["symbols", "frequency"])
 
 
 def vocabulary_from(spark: SparkSession, merged: dict[str, int]) -> DataFrame:

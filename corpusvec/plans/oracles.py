@@ -69,14 +69,14 @@ SELECT line_index, row_number() OVER (ORDER BY line_index, j) - 1 AS pos, ws[j]
 CLEAN = rf"trim(regexp_replace(line, '[^\w\t\n\x0B\f\r ]', '', 'g'), {TRIMMED})"
 
 CLEAN_COUNTS = r"""
-counts AS (
+counts AS MATERIALIZED (
   SELECT word, count(*) AS frequency
   FROM (SELECT unnest(string_split_regex(
           lower(regexp_replace(text, '[^\w\t\n\x0B\f\r ]', '', 'g')), '\W+')) AS word FROM documents)
   WHERE word <> '' GROUP BY word)"""
 
 RAW_COUNTS = r"""
-counts AS (
+counts AS MATERIALIZED (
   SELECT word, count(*) AS frequency
   FROM (SELECT unnest(string_split_regex(lower(text), '\W+')) AS word FROM documents)
   WHERE word <> '' GROUP BY word)"""
@@ -84,7 +84,7 @@ counts AS (
 # Words here are [a-z0-9_]+, for which sub-word pieces are letters with at
 # most one underscore in front, up to three digits, or underscores.
 PIECES = r"""
-pieces AS (
+pieces AS MATERIALIZED (
   SELECT unnest(regexp_extract_all(word, '_?[a-z]+|[0-9]{1,3}|_+')) AS piece, frequency FROM counts),
 pairs AS (
   SELECT piece[i] AS l, piece[i + 1] AS r, frequency
@@ -95,7 +95,7 @@ pair_counts AS (
   FROM pairs GROUP BY l, r)"""
 
 ONE_MERGE = CLEAN_COUNTS + "," + PIECES + r""",
-best AS (
+best AS MATERIALIZED (
   SELECT pair FROM pair_counts ORDER BY frequency DESC, "left", "right" LIMIT 1)"""
 
 # Left to right, the one merged pair or a single character.
@@ -196,6 +196,10 @@ best AS (SELECT * FROM ranked WHERE rank <= {TOP})"""
 
 TOP_SQL = f"{NAMED}, {TOP_OF_NAMED}"
 
+COUNTED_ONE_MERGE = f"""WITH {LETTERS}, {CLEAN_COUNTS}, {learned(1)}
+SELECT word, {token_list("flatten(list(ids ORDER BY i))")} AS token_list, any_value(frequency) AS frequency
+FROM word_pieces JOIN piece_ids USING (piece) GROUP BY word"""
+
 ORACLES: dict[str, str] = {
     "clean_lines": f"WITH {LINES} SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, {CLEAN} AS line FROM lines",
     "word_counts": f"WITH {CLEAN_COUNTS} SELECT word, frequency FROM counts",
@@ -313,12 +317,8 @@ FROM best GROUP BY word""",
     "first_merge": f"""WITH {ONE_MERGE}
 SELECT CAST(b AS INTEGER) AS token_id, printf('%02X', b) AS token FROM range(0, 256) t(b)
 UNION ALL SELECT 256, hex(pair) FROM best""",
-    "counted_tokens_one_merge": f"""WITH {ONE_MERGE}
-SELECT word, {token_list(TOKENS.format(word="word", pair="pair"))} AS token_list, frequency
-FROM counts, best""",
-    "word_count_csv_scan": f"""WITH {ONE_MERGE}
-SELECT word, {token_list(TOKENS.format(word="word", pair="pair"))} AS token_list, frequency
-FROM counts, best""",
+    "counted_tokens_one_merge": COUNTED_ONE_MERGE,
+    "word_count_csv_scan": COUNTED_ONE_MERGE,
     "vocabulary": f"""WITH {LETTERS}, {CLEAN_COUNTS}, {learned(MERGES)}
 SELECT id AS token_id, upper(t) AS token FROM tokens""",
     "counted_tokens": f"""WITH {LETTERS}, {CLEAN_COUNTS}, {learned(MERGES)}

@@ -1,9 +1,10 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
-from corpusvec.operators import subwords
+from corpusvec.operators import merges, subwords
 
 
 def table(spark, tokens):
@@ -167,6 +168,36 @@ def test_batches_equal_single_merges_on_a_corpus(spark):
     assert [bytes(r.token_bytes) for r in got] == list(dict.fromkeys(by_hand))
 
 
+@pytest.mark.parametrize(("per_round", "pieces"), [(8, 0), (16, 2000), (32, 1 << 18)])
+def test_a_thousand_merges_in_rounds_of_any_kind(spark, monkeypatch, per_round, pieces):
+    """Guessing, fetching and both in turn, with the merges written out on the way."""
+    monkeypatch.setattr(subwords, "REPLAYED", 300)
+    rng = random.Random(7)
+    stems = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randrange(1, 5))) for _ in range(150)]
+    counts = {"".join(rng.choices(stems, k=rng.randrange(1, 4))): rng.randrange(1, 9) for _ in range(2500)}
+    times = 250 if pieces == 0 else 1000
+    df = spark.createDataFrame(list(counts.items()), "word string, frequency long")
+    got = subwords.learn_vocabulary(df, times, per_round, pieces).where("token_id >= 256").orderBy("token_id").collect()
+    assert [bytes(r.token_bytes) for r in got] == list(dict.fromkeys(learn_by_hand(counts, times)))
+
+
+def test_merging_flat_pieces():
+    symbols, piece = np.array([1, 1, 1, 2, 1, 1, 1, 1, 1], np.int32), np.array([0, 0, 0, 0, 0, 1, 1, 1, 1])
+    after, pieces, touched = merges.merge(symbols, piece, (1, 1), 9)
+    assert (after.tolist(), pieces.tolist(), touched.tolist()) == ([9, 1, 2, 1, 9, 9], [0, 0, 0, 0, 1, 1], [0, 1])
+    *_, (left, right, n, places) = merges.merge_with_changes(symbols, piece, np.array([5, 1 << 60]), (1, 1), 9)
+    changes = dict(zip(zip(left.tolist(), right.tolist()), zip(n.tolist(), places.tolist())))
+    assert changes == {(1, 1): (-2 * 5 - 3 * (1 << 60), -5), (9, 1): (5, 1), (9, 9): (1 << 60, 1)}
+
+
+def test_the_queue_skips_what_no_longer_holds():
+    queue = merges.PairQueue(["b", "a"])
+    queue.change(*(np.array(c) for c in ([0, 1, 1], [0, 0, 1], [7, 7, 3], [1, 1, 1])))
+    assert queue.best() == (1, 0) and queue.best_of(9, 99) == [(1, 0), (0, 0), (1, 1)] and queue.best_of(9, 2) == [(1, 0), (0, 0)]
+    queue.change(*(np.array(c) for c in ([1, 0], [0, 0], [-7, -5], [-1, 0])))
+    assert queue.best() == (1, 1) and queue.best_of(9, 0) == [(1, 1)] and queue.best_of(9, 9) == [(1, 1), (0, 0)]
+
+
 def test_both_encoders_give_the_same_rows(spark):
     words = ["ab", "", None, "b", "é", "ab" * 10_000, "a b", "xaby", "ab"]
     df = spark.createDataFrame([(w,) for w in words], "word string")
