@@ -371,38 +371,62 @@ def encode_slices(df: DataFrame, vocabulary: DataFrame, words: str = "words") ->
     )
 
 
+def tokens_held(pieces: DataFrame, tokens: DataFrame) -> DataFrame:
+    """``(id, token_bytes, token_id)``: tokens of three bytes or more that a piece ``(id, piece)`` holds.
+
+    The vocabulary is cut by prefix into levels of a trie: tokens of up to 4
+    bytes, of up to 8, of up to 16, and so on, and the prefixes under which
+    there are longer ones. Each place of a piece walks down the levels by
+    joins, and leaves as soon as no longer token begins with what stands there,
+    so that it looks up a few strings and not one for each possible length.
+    """
+    tokens = tokens.select("token_bytes", "token_id", F.octet_length("token_bytes").alias("size"))
+    deepest = tokens.agg(F.max("size")).first()[0] or 0
+    n = F.octet_length("piece")
+    # Where a piece goes on beyond the longest token, the rest is of no use here.
+    walks = pieces.where(n >= 3).select(
+        "id", F.explode(F.transform(F.sequence(F.lit(1), n - 2), lambda i: F.substring(F.col("piece"), i, F.lit(deepest)))).alias("rest")
+    )
+    held, depth = None, 2
+    while depth < deepest:
+        above, depth = depth, 2 * depth
+        ahead = F.octet_length("rest")
+        lengths = F.sequence(F.lit(above + 1), F.least(ahead, F.lit(depth)))
+        looked_up = walks.where(ahead > above).select("id", F.explode(F.transform(lengths, lambda k: F.substring(F.col("rest"), F.lit(1), k))).alias("token_bytes"))
+        level = tokens.where((F.col("size") > above) & (F.col("size") <= depth)).select("token_bytes", "token_id")
+        found = looked_up.join(level, "token_bytes")
+        held = found if held is None else held.unionByName(found)
+        if depth < deepest:
+            front = F.substring(F.col("rest"), F.lit(1), F.lit(depth))
+            deeper = tokens.where(F.col("size") > depth).select(F.substring("token_bytes", 1, depth).alias("front")).distinct()
+            walks = materialize(walks.where(ahead > depth).withColumn("front", front).join(deeper, "front", "left_semi").drop("front"))
+    if held is None:
+        held = pieces.sparkSession.createDataFrame([], "id long, token_bytes binary, token_id int")
+    return held.distinct()
+
+
 def encode_words_by_join(df: DataFrame, vocabulary: DataFrame, word: str = "word") -> DataFrame:
     """The same for a vocabulary too large to send to every task.
 
-    A piece needs only those tokens that it holds: its distinct substrings are
-    joined with the vocabulary, and it is merged with what they find by the
-    same code. Tokens of one or two bytes, which most pieces share and of which
-    there are at most 65,792, are sent. Each distinct piece is encoded once.
+    A piece needs only those tokens that it holds (:func:`tokens_held`), and is
+    merged with them by the same code. Tokens of one or two bytes, which most
+    pieces share and of which there are at most 65,792, are sent. Each distinct
+    piece is encoded once.
     """
     spark = df.sparkSession
     tokens = vocabulary.groupBy("token_bytes").agg(F.min("token_id").alias("token_id"))
     size = F.octet_length("token_bytes")
-    longest = tokens.agg(F.max(size)).first()[0] or 0
     short = spark.sparkContext.broadcast(
         {bytes(r["token_bytes"]): r["token_id"] for r in tokens.where(size <= 2).collect()}
     )
     words = df.select(F.col(word).alias("_word")).where(F.col(word).isNotNull()).distinct()
     parts = materialize(words.select("_word", F.posexplode(pieces_of(F.col("_word"))).alias("p", "piece")))
-    pieces = parts.select(F.col("piece").cast("binary").alias("piece")).distinct()
-
-    def substrings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for piece in batch.column(0).to_pylist():
-                n = len(piece)
-                held = {piece[i:j] for i in range(n) for j in range(i + 3, min(n, i + longest) + 1)}
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([piece] * len(held), pa.binary()), pa.array(held, pa.binary())], names=["piece", "token_bytes"]
-                )
-
+    # Written down, the ids stay what they are, also where a task is run again.
+    distinct = parts.select(F.col("piece").cast("binary").alias("piece")).distinct()
+    pieces = materialize(distinct.withColumn("id", F.monotonically_increasing_id()))
     known = (
-        pieces.mapInArrow(substrings, "piece binary, token_bytes binary")
-        .join(tokens.where(size > 2), "token_bytes")
-        .groupBy("piece")
+        tokens_held(pieces, materialize(tokens))
+        .groupBy("id")
         .agg(F.collect_list(F.struct("token_bytes", "token_id")).alias("known"))
     )
 
@@ -416,7 +440,7 @@ def encode_words_by_join(df: DataFrame, vocabulary: DataFrame, word: str = "word
                 [batch.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["piece", "ids"]
             )
 
-    coded = pieces.join(known, "piece", "left").mapInArrow(merge, "piece binary, ids array<int>")
+    coded = pieces.join(known, "id", "left").select("piece", "known").mapInArrow(merge, "piece binary, ids array<int>")
     encoded = (
         parts.withColumn("piece", F.col("piece").cast("binary")).join(coded, "piece", "left")
         .groupBy("_word")

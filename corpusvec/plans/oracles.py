@@ -196,6 +196,10 @@ best AS (SELECT * FROM ranked WHERE rank <= {TOP})"""
 
 TOP_SQL = f"{NAMED}, {TOP_OF_NAMED}"
 
+COUNTED = f"""WITH {LETTERS}, {CLEAN_COUNTS}, {learned(MERGES)}
+SELECT word, flatten(list(ids ORDER BY i)) AS token_ids, any_value(frequency) AS frequency
+FROM word_pieces JOIN piece_ids USING (piece) GROUP BY word"""
+
 COUNTED_ONE_MERGE = f"""WITH {LETTERS}, {CLEAN_COUNTS}, {learned(1)}
 SELECT word, {token_list("flatten(list(ids ORDER BY i))")} AS token_list, any_value(frequency) AS frequency
 FROM word_pieces JOIN piece_ids USING (piece) GROUP BY word"""
@@ -321,9 +325,8 @@ UNION ALL SELECT 256, hex(pair) FROM best""",
     "word_count_csv_scan": COUNTED_ONE_MERGE,
     "vocabulary": f"""WITH {LETTERS}, {CLEAN_COUNTS}, {learned(MERGES)}
 SELECT id AS token_id, upper(t) AS token FROM tokens""",
-    "counted_tokens": f"""WITH {LETTERS}, {CLEAN_COUNTS}, {learned(MERGES)}
-SELECT word, flatten(list(ids ORDER BY i)) AS token_ids, any_value(frequency) AS frequency
-FROM word_pieces JOIN piece_ids USING (piece) GROUP BY word""",
+    "counted_tokens": COUNTED,
+    "counted_tokens_by_join": COUNTED,
     "ordered_tokens": f"""WITH {LETTERS}, {CLEAN_COUNTS}, {learned(MERGES)}
 SELECT pos, row_index, word, ids AS token_ids FROM ordered JOIN piece_ids ON word = piece""",
     "shard_vocabularies": f"""WITH {LETTERS}, {CLEAN_COUNTS}, {learned(MERGES)}, {SHARD_IDS}

@@ -559,6 +559,14 @@ def counted_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.counted_tokens(documents(spark, sf_dir), corpus_vocabulary(spark, sf_dir))
 
 
+@query
+def counted_tokens_by_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows by the way for a vocabulary too large to send."""
+    counts = materialize(word_counts(spark, sf_dir))
+    known = subwords.learn_vocabulary(counts, MERGES, MERGES_PER_ROUND)
+    return subwords.encode_words_by_join(counts, known).select("word", "token_ids", "frequency")
+
+
 @query
 def ordered_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.ordered_tokens(documents(spark, sf_dir), corpus_vocabulary(spark, sf_dir))

@@ -218,6 +218,18 @@ def test_both_encoders_fail_without_a_byte(spark):
             encode(df, known).collect()
 
 
+def test_tokens_that_a_piece_holds(spark):
+    """Found level by level, whatever their length, and nothing else."""
+    rng = random.Random(3)
+    names = {"".join(rng.choice("ab") for _ in range(rng.choice([3, 4, 5, 8, 9, 16, 17, 33]))).encode() for _ in range(150)}
+    tokens = spark.createDataFrame([(bytearray(t), i) for i, t in enumerate(sorted(names))], "token_bytes binary, token_id int")
+    texts = [b"", b"a", b"ab", b"aba"] + ["".join(rng.choice("ab") for _ in range(60)).encode() for _ in range(20)]
+    pieces = spark.createDataFrame([(i, bytearray(t)) for i, t in enumerate(texts)], "id long, piece binary")
+    got = sorted((r.id, bytes(r.token_bytes)) for r in subwords.tokens_held(pieces, tokens).collect())
+    assert got == sorted((i, n) for i, t in enumerate(texts) for n in names if n in t)
+    assert subwords.tokens_held(pieces, tokens.where("octet_length(token_bytes) < 3")).count() == 0
+
+
 def test_decoding_keeps_every_key(spark):
     known = table(spark, [b"ab"])
     df = spark.createDataFrame([(1, []), (2, [256, 97]), (3, None)], "k int, token_ids array<int>")
