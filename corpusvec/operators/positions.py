@@ -187,6 +187,12 @@ def _with_word_offsets(docs: DataFrame, in_order: bool = False) -> DataFrame:
     return with_offsets(sized, "doc_id", ["before", "kept_before"], in_order)
 
 
+def lettered_words(docs: DataFrame) -> int:
+    """How many words of the corpus have letters: one sum over the documents."""
+    kept = F.size(F.filter(text.space_words(F.col("text")), text.has_letters)).cast("bigint")
+    return docs.agg(F.sum(kept)).first()[0] or 0
+
+
 def word_slices(docs: DataFrame, rows_per_shard: int) -> DataFrame:
     """Ordered words cut by document and shard: ``(shard_id, row_index, words)``.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusvec.operators.positions import ordered_words, with_row_index, word_slices
+from corpusvec.operators.positions import lettered_words, ordered_words, with_row_index, word_slices
 from corpusvec.operators.shards import fixed_shard
 from corpusvec.operators.similarity import similar_words
 from corpusvec.operators.subwords import (
@@ -78,7 +78,8 @@ def corpus_embeddings(
     of words a shard and encoded as such; only those arrays are shuffled.
     """
     slices = encode_slices(word_slices(docs, rows_per_shard), vocabulary)
-    return merged_embeddings(train_shards(slices, options), vocabulary, options.dim)
+    shards = -(-lettered_words(docs) // rows_per_shard)
+    return merged_embeddings(train_shards(slices, options, shards), vocabulary, options.dim)
 
 
 def word_vectors(embeddings: DataFrame, dim: int, on_duplicate: str = "mean") -> DataFrame:

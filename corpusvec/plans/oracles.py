@@ -9,6 +9,7 @@ from corpusvec.plans.queries import (
     LINES_PER_SHARD,
     MERGES,
     RANGES,
+    SMALL_MODEL,
     STRIDE,
     TOKEN_ROWS_PER_SHARD,
     TOP,
@@ -196,6 +197,55 @@ best AS (SELECT * FROM ranked WHERE rank <= {TOP})"""
 
 TOP_SQL = f"{NAMED}, {TOP_OF_NAMED}"
 
+def hashed_normals(name: str, seed: int, width: int) -> str:
+    """``(id, i, x)``: a normal number for each token and column, from a hash of both (splitmix64)."""
+    wrap = "% CAST('18446744073709551616' AS UHUGEINT)"
+
+    def shifted(bits: int, factor: str) -> str:
+        return f"SELECT id, c, (xor(x, x >> {bits}) * CAST('{factor}' AS UHUGEINT)) {wrap} AS x"
+
+    return f"""
+{name}_bits AS (
+  SELECT id, c, xor(x, x >> 31) AS x FROM (
+    {shifted(27, "10723151780598845931")} FROM (
+      {shifted(30, "13787848793156543929")} FROM (
+        SELECT id, c, (CAST(id * {2 * width} + c + {seed} AS UHUGEINT) * CAST('11400714819323198485' AS UHUGEINT)) {wrap} AS x
+        FROM (SELECT DISTINCT id FROM flat), range(0, {2 * width}) r(c))))),
+{name} AS MATERIALIZED (
+  SELECT a.id, a.c AS i, sqrt(-2 * ln((CAST(a.x >> 11 AS DOUBLE) + 0.5) / 9007199254740992.0))
+    * cos(2 * pi() * ((CAST(b.x >> 11 AS DOUBLE) + 0.5) / 9007199254740992.0)) AS x
+  FROM {name}_bits a JOIN {name}_bits b ON a.id = b.id AND b.c = a.c + {width} WHERE a.c < {width})"""
+
+
+# One forward pass and its gradient, summed over distinct contexts of a shard.
+# Every logit is the sum over both context places of the product of vectors.
+DIM_SMALL = SMALL_MODEL.dim
+ONE_EPOCH = f"""WITH {LETTERS}, {ONE_MERGE},
+coded AS MATERIALIZED (
+  SELECT row_index // {TOKEN_ROWS_PER_SHARD} AS shard_id, row_index, {TOKENS.format(word="word", pair="pair")} AS ids FROM ordered, best),
+flat AS MATERIALIZED (
+  SELECT shard_id, row_number() OVER (PARTITION BY shard_id ORDER BY row_index, i) - 1 AS k, CAST(ids[i] AS BIGINT) AS id
+  FROM (SELECT *, unnest(range(1, len(ids) + 1)) AS i FROM coded)),
+vocab AS MATERIALIZED (SELECT DISTINCT shard_id, id FROM flat),
+seen AS MATERIALIZED (
+  SELECT shard_id, c0, c1, coalesce(t, c1) AS t, count(*) AS m FROM (
+    SELECT shard_id, k, id AS c0, lead(id, 1) OVER w AS c1, lead(id, 2) OVER w AS t FROM flat WINDOW w AS (PARTITION BY shard_id ORDER BY k))
+  WHERE k % 2 = 0 AND c1 IS NOT NULL GROUP BY ALL),
+sizes AS MATERIALIZED (
+  SELECT shard_id, n, sqrt(2 / (v + {DIM_SMALL})) AS scale_in, sqrt(2 / ({2 * DIM_SMALL} + v)) AS scale_out
+  FROM (SELECT shard_id, sum(m) AS n FROM seen GROUP BY shard_id) JOIN (SELECT shard_id, count(*) AS v FROM vocab GROUP BY shard_id)
+  USING (shard_id)),
+{hashed_normals("e", SMALL_MODEL.seed, DIM_SMALL)},
+{hashed_normals("o", SMALL_MODEL.seed + 1, 2 * DIM_SMALL)},
+products AS MATERIALIZED (
+  SELECT e.id AS c, o.i // {DIM_SMALL} AS j, o.id AS t, sum(e.x * o.x) AS s FROM e JOIN o ON o.i % {DIM_SMALL} = e.i GROUP BY ALL),
+contexts AS (SELECT shard_id, c0, c1, sum(m) AS m FROM seen GROUP BY ALL),
+scored AS (
+  SELECT shard_id, c0, c1, vocab.id AS t, contexts.m, exp(scale_in * scale_out * (x.s + y.s)) AS w
+  FROM contexts JOIN vocab USING (shard_id) JOIN sizes USING (shard_id)
+  JOIN products x ON x.c = c0 AND x.j = 0 AND x.t = vocab.id JOIN products y ON y.c = c1 AND y.j = 1 AND y.t = vocab.id),
+likely AS MATERIALIZED (SELECT shard_id, c0, c1, t, m, w / sum(w) OVER (PARTITION BY shard_id, c0, c1) AS p FROM scored)"""
+
 COUNTED = f"""WITH {LETTERS}, {CLEAN_COUNTS}, {learned(MERGES)}
 SELECT word, flatten(list(ids ORDER BY i)) AS token_ids, any_value(frequency) AS frequency
 FROM word_pieces JOIN piece_ids USING (piece) GROUP BY word"""
@@ -329,6 +379,23 @@ SELECT id AS token_id, upper(t) AS token FROM tokens""",
     "counted_tokens_by_join": COUNTED,
     "ordered_tokens": f"""WITH {LETTERS}, {CLEAN_COUNTS}, {learned(MERGES)}
 SELECT pos, row_index, word, ids AS token_ids FROM ordered JOIN piece_ids ON word = piece""",
+    "one_epoch_embeddings": f"""{ONE_EPOCH},
+errors AS MATERIALIZED (
+  SELECT shard_id, c0, c1, t, (likely.m * p - coalesce(seen.m, 0)) / n AS r
+  FROM likely JOIN sizes USING (shard_id) LEFT JOIN seen USING (shard_id, c0, c1, t)),
+by_token AS (
+  SELECT shard_id, c, j, t, sum(r) AS r FROM (
+    SELECT shard_id, c0 AS c, 0 AS j, t, r FROM errors UNION ALL SELECT shard_id, c1, 1, t, r FROM errors) GROUP BY ALL),
+gradient AS (
+  SELECT shard_id, c, o.i % {DIM_SMALL} AS i, sum(r * scale_out * o.x) AS g
+  FROM by_token JOIN sizes USING (shard_id) JOIN o ON o.id = t AND o.i // {DIM_SMALL} = j GROUP BY ALL)
+SELECT CAST(vocab.id AS INTEGER) AS token_id, CAST(e.i AS INTEGER) AS i,
+       round(avg(scale_in * e.x - {SMALL_MODEL.learning_rate} * coalesce(g, 0)), 6) AS value
+FROM vocab JOIN sizes USING (shard_id) JOIN e USING (id)
+LEFT JOIN gradient ON gradient.shard_id = vocab.shard_id AND c = vocab.id AND gradient.i = e.i GROUP BY vocab.id, e.i""",
+    "training_losses": f"""{ONE_EPOCH}
+SELECT shard_id, round(-sum(seen.m * ln(p)) / any_value(n), 6) AS first_loss, TRUE AS falls
+FROM seen JOIN likely USING (shard_id, c0, c1, t) JOIN sizes USING (shard_id) GROUP BY shard_id""",
     "shard_vocabularies": f"""WITH {LETTERS}, {CLEAN_COUNTS}, {learned(MERGES)}, {SHARD_IDS}
 SELECT shard_id, id AS token_id, CAST(row_number() OVER (PARTITION BY shard_id ORDER BY id) - 1 AS INTEGER) AS token_index
 FROM (SELECT DISTINCT shard_id, id FROM shard_ids)""",

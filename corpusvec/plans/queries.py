@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusvec.functions import rows, text, vectors
 from corpusvec.operators import positions, shards, similarity, subwords, windows
+from corpusvec.operators.training import TrainingOptions, shard_losses
 from corpusvec.operators.vectors import concat_vectors, mean_vectors
 from corpusvec.operators.word_count import word_count
 from corpusvec.plans import jobs
@@ -47,6 +49,7 @@ TOP = 5
 DIM = 64
 DUPLICATES = 5
 MERGES, MERGES_PER_ROUND = 128, 16
+SMALL_MODEL = TrainingOptions(window=2, stride=2, dim=4, learning_rate=0.5, dtype="float64")
 
 
 def query(f: Query) -> Query:
@@ -605,6 +608,27 @@ def token_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.corpus_embeddings(documents(spark, sf_dir), known)
 
 
+def small_models(spark: SparkSession, sf_dir: str, epochs: int) -> DataFrame:
+    """Models of all shards that are small enough for SQL to follow, over the one-merge vocabulary."""
+    tokens = jobs.ordered_tokens(documents(spark, sf_dir), one_merge_vocabulary(spark, sf_dir))
+    return jobs.shard_embeddings(tokens, TOKEN_ROWS_PER_SHARD, replace(SMALL_MODEL, epochs=epochs))
+
+
+@query
+def one_epoch_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors after one gradient step in each shard, averaged over the shards."""
+    merged = mean_vectors(small_models(spark, sf_dir, 1), ["token_id"], SMALL_MODEL.dim)
+    return merged.select("token_id", F.posexplode("embedding").alias("i", "value")).select("token_id", "i", rounded(F.col("value"), "value"))
+
+
+@query
+def training_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The loss of each shard before its first step, and whether each of four steps lowers it."""
+    losses = shard_losses(small_models(spark, sf_dir, 5))
+    falls = F.forall(F.sequence(F.lit(1), F.size("loss") - 1), lambda k: F.get("loss", k) < F.get("loss", k - 1))
+    return losses.select("shard_id", rounded(F.get("loss", F.lit(0)), "first_loss"), falls.alias("falls"))
+
+
 def shard_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(shard_id, row_index, i, token_id)``: what the shards train on, one token a row."""
     tokens = jobs.ordered_tokens(documents(spark, sf_dir), corpus_vocabulary(spark, sf_dir))
