@@ -25,11 +25,13 @@ def arguments() -> argparse.Namespace:
             one.add_argument(path)
         return one
 
-    add("shard-lines", "input", "output").add_argument("--lines", type=int, default=500)
+    for name in ("shard-lines", "position-words"):
+        one = add(name, "input", "output")
+        one.add_argument("--lines", type=int, default=500)
+        one.add_argument("--packed", action="store_true", help="many shards a file, with a manifest")
     learn = add("learn-vocabulary", "input", "output")
     learn.add_argument("--merges", type=int, required=True)
     add("count-words", "input", "vocabulary", "output")
-    add("position-words", "input", "output").add_argument("--lines", type=int, default=500)
     add("order-tokens", "input", "vocabulary", "output")
     train = add("train-embeddings", "input", "vocabulary", "output")
     train.add_argument("--rows", type=int, default=10_000)
@@ -51,13 +53,13 @@ def main() -> None:
     spark = SparkSession.builder.appName(f"corpusvec {a.job}").getOrCreate()
     ship_package(spark)
     if a.job == "shard-lines":
-        files.shard_lines(spark, a.input, a.output, a.lines)
+        files.shard_lines(spark, a.input, a.output, a.lines, a.packed)
     elif a.job == "learn-vocabulary":
         files.learn(spark, a.input, a.output, a.merges)
     elif a.job == "count-words":
         files.count_words(spark, a.input, a.vocabulary, a.output)
     elif a.job == "position-words":
-        files.position_words(spark, a.input, a.output, a.lines)
+        files.position_words(spark, a.input, a.output, a.lines, a.packed)
     elif a.job == "order-tokens":
         files.order_tokens(spark, a.input, a.vocabulary, a.output)
     elif a.job == "train-embeddings":

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from corpusvec.functions import rows, text
 from corpusvec.operators.shards import whole_division
+from corpusvec.session import materialize
 
 # One task may order this many buckets; more are grouped into parents first.
 LEVEL_BITS = 16
@@ -81,6 +82,30 @@ def with_offsets(df: DataFrame, key: str, counts: list[str], in_order: bool = Fa
     return placed
 
 
+def with_totals_before(df: DataFrame, order: list[str], count: str, name: str) -> DataFrame:
+    """Add ``name``: the sum of ``count`` over all rows before, in the order of columns of any type.
+
+    Rows are dealt by ranges of the order, of at most about ``2**LEVEL_BITS``
+    rows each. The ranges' sums, one number for each, give them their starts; a
+    window inside a range does the rest. ``order`` has to tell rows apart. The
+    table is read twice, and should be cheap to read.
+    """
+    ranges = -(-df.count() // (1 << LEVEL_BITS)) or 1
+    # Written down, a row's range stays what it is, also where a task is run again.
+    ranged = materialize(df.repartitionByRange(ranges, *order).withColumn("range", F.spark_partition_id()))
+    totals = dict(ranged.groupBy("range").agg(F.sum(count)).collect())
+    starts, total = [], 0
+    for k in sorted(totals):
+        starts.append((k, total))
+        total += totals[k]
+    before = df.sparkSession.createDataFrame(starts, "range int, start long")
+    inside = F.sum(count).over(W.partitionBy("range").orderBy(*order).rowsBetween(W.unboundedPreceding, -1))
+    return (
+        ranged.withColumn(name, F.coalesce(inside, F.lit(0)))
+        .join(F.broadcast(before), "range").withColumn(name, F.col(name) + F.col("start")).drop("range", "start")
+    )
+
+
 def with_row_index(df: DataFrame, key: str, name: str = "row_index") -> DataFrame:
     """Add the row's number from 0 in ascending order of a unique BIGINT key."""
     return with_offsets(df.withColumn(name, F.lit(1).cast("bigint")), key, [name])

@@ -26,6 +26,7 @@ from corpusvec.sinks import (
     similar_words_yaml,
     vocabulary_rows,
     word_count_csv,
+    write_packed_shards,
     write_shards,
     write_text,
 )
@@ -41,9 +42,10 @@ from corpusvec.sources import (
 from corpusvec.sources.rows import EMBEDDING_HEADER, TOKEN_HEADER
 
 
-def shard_lines(spark: SparkSession, path: str, out: str, lines_per_shard: int = 500) -> None:
-    """Cleaned lines in shards of ``lines_per_shard``."""
-    write_shards(clean_line_shards(numbered_lines(spark, path, recursive=True), lines_per_shard), out)
+def shard_lines(spark: SparkSession, path: str, out: str, lines_per_shard: int = 500, packed: bool = False) -> None:
+    """Cleaned lines in shards of ``lines_per_shard``: a folder each, or ``packed`` into files."""
+    write = write_packed_shards if packed else write_shards
+    write(clean_line_shards(numbered_lines(spark, path, recursive=True), lines_per_shard), out)
 
 
 def learn(spark: SparkSession, path: str, out: str, merges: int, merges_per_round: int = 64) -> None:
@@ -64,7 +66,7 @@ def count_words(spark: SparkSession, path: str, vocabulary: str, out: str) -> No
     write_text(word_count_csv(materialize(counts)), out, header=WORD_COUNT_HEADER)
 
 
-def position_words(spark: SparkSession, path: str, out: str, lines_per_shard: int = 500) -> None:
+def position_words(spark: SparkSession, path: str, out: str, lines_per_shard: int = 500, packed: bool = False) -> None:
     """``pos_word`` lines of raw text files in shards of so many source lines."""
     words = positions.positioned_words_of_lines(numbered_lines(spark, path, recursive=True))
     shards = words.select(
@@ -72,7 +74,7 @@ def position_words(spark: SparkSession, path: str, out: str, lines_per_shard: in
         F.col("pos").alias("line_index"),
         rows.format_positioned_word(F.col("pos"), F.col("word")).alias("line"),
     )
-    write_shards(shards, out)
+    (write_packed_shards if packed else write_shards)(shards, out)
 
 
 def order_tokens(spark: SparkSession, path: str, vocabulary: str, out: str) -> None:

@@ -322,6 +322,9 @@ FROM numbered GROUP BY 1, 2""",
 size AS (SELECT greatest(CAST(ceil(count(*) / {EQUAL_SHARDS}) AS BIGINT), 1) AS n FROM numbered)
 SELECT CAST(line_index // (SELECT n FROM size) AS INTEGER) AS shard_id, line_index, line FROM numbered""",
     "position_shards_on_disk": f"WITH {WORDS} SELECT pos, word FROM positioned",
+    "packed_line_shards": f"""WITH {LINES}
+SELECT line_index // {LINES_PER_SHARD} AS shard_id, line_index % {LINES_PER_SHARD} AS row, {CLEAN} AS line FROM numbered""",
+    "packed_position_shards": f"WITH {WORDS} SELECT pos, word FROM positioned",
     "numbered_text_lines": f"WITH {LINES} SELECT line_index, line FROM numbered",
     "token_indexes": f"WITH {DENSE} SELECT DISTINCT shard_id, word, CAST(token_index AS INTEGER) AS token_index FROM dense",
     "dense_tokens": f"WITH {DENSE} SELECT shard_id, row_index, word, CAST(token_index AS INTEGER) AS token_index FROM dense",

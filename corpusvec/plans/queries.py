@@ -20,6 +20,7 @@ from corpusvec.sinks import (
     ordered_token_csv,
     word_count_csv,
     write_numbered_shards,
+    write_packed_shards,
     write_shards,
     write_text,
     yaml_entry,
@@ -28,6 +29,7 @@ from corpusvec.sinks.rows import WORD_COUNT_HEADER
 from corpusvec.sources import (
     embedding_rows,
     numbered_lines,
+    packed_shards,
     positioned_words_from_lines,
     read_documents,
     read_lines,
@@ -44,6 +46,7 @@ RANGES = 8
 EQUAL_SHARDS = 7
 LINES_PER_SHARD = 500
 TOKEN_ROWS_PER_SHARD = 10_000
+PACKED_BYTES = 1 << 18
 WINDOW, STRIDE = 8, 2
 TOP = 5
 DIM = 64
@@ -291,15 +294,32 @@ def numbered_shards_on_disk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def position_shards_on_disk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``pos_word`` lines of 500 source lines a shard, scanned recursively."""
     path = scratch_path(spark, "position_shards")
+    write_shards(position_shards(spark, sf_dir), path)
+    return positioned_words_from_lines(read_lines(spark, path, recursive=True))
+
+
+def position_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = positions.positioned_lines(documents(spark, sf_dir))
-    write_shards(
-        words.select(
-            shards.fixed_shard(F.col("line_index"), LINES_PER_SHARD).alias("shard_id"),
-            F.col("pos").alias("line_index"),
-            rows.format_positioned_word(F.col("pos"), F.col("word")).alias("line"),
-        ),
-        path,
+    return words.select(
+        shards.fixed_shard(F.col("line_index"), LINES_PER_SHARD).alias("shard_id"),
+        F.col("pos").alias("line_index"),
+        rows.format_positioned_word(F.col("pos"), F.col("word")).alias("line"),
     )
+
+
+@query
+def packed_line_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards of 500 lines packed into files, read back through the manifest."""
+    path = scratch_path(spark, "packed_lines")
+    write_packed_shards(fixed_shards(spark, sf_dir), path, file_bytes=PACKED_BYTES)
+    return packed_shards(spark, path)
+
+
+@query
+def packed_position_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packed ``pos_word`` lines, scanned as a folder of text."""
+    path = scratch_path(spark, "packed_positions")
+    write_packed_shards(position_shards(spark, sf_dir), path, file_bytes=PACKED_BYTES)
     return positioned_words_from_lines(read_lines(spark, path, recursive=True))
 
 

@@ -6,7 +6,7 @@ from corpusvec.sinks.rows import (
     word_count_csv,
     yaml_entry,
 )
-from corpusvec.sinks.writers import write_numbered_shards, write_shards, write_text
+from corpusvec.sinks.writers import write_numbered_shards, write_packed_shards, write_shards, write_text
 
 __all__ = [
     "embedding_csv",
@@ -15,6 +15,7 @@ __all__ = [
     "vocabulary_rows",
     "word_count_csv",
     "write_numbered_shards",
+    "write_packed_shards",
     "write_shards",
     "write_text",
     "yaml_entry",

@@ -6,11 +6,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from corpusvec.operators.positions import with_totals_before
 from corpusvec.session import materialize, spread
+from corpusvec.sinks.writers import MANIFEST
 
 # Splits are broadcast up to this many rows (about 100 bytes each); beyond
 # it both sides shuffle on the split.
 BROADCAST_SPLITS = 200_000
+# Lines of a packed file that are looked up together.
+BLOCK_ROWS = 512
 
 
 def natural_order(path: Column) -> Column:
@@ -33,14 +37,11 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     return spread(docs, "doc_id")
 
 
-def numbered_lines(spark: SparkSession, path: str | list[str], recursive: bool = False) -> DataFrame:
-    """Lines with their number over all files: ``(line_index BIGINT, line)``.
+def _scanned(spark: SparkSession, path: str | list[str], recursive: bool) -> tuple[DataFrame, DataFrame]:
+    """Lines ``(line, file, start, scan_id)``, and the splits ``(file, start, n, first_id)`` of the scan.
 
-    Files count in path order, numbers in their names by value, so that
-    ``part-100000`` comes after ``part-99999``. A line's number is the number
-    of lines in earlier splits plus its place in its own split, which the
-    scan's increasing ids give without moving any text: only one row a split
-    is aggregated, and the running total over those is the offset.
+    The scan's increasing ids give a line's place in its split without moving
+    any text: only one row a split is aggregated.
     """
     lines = read_lines(spark, path, recursive).select(
         F.col("value").alias("line"),
@@ -51,21 +52,71 @@ def numbered_lines(spark: SparkSession, path: str | list[str], recursive: bool =
     splits = lines.groupBy("file", "start").agg(
         F.count("*").alias("n"), F.min("scan_id").alias("first_id")
     )
-    files = splits.groupBy("file").agg(F.sum("n").alias("file_n"))
-    earlier_files = files.select(
-        "file", (F.sum("file_n").over(W.orderBy(natural_order(F.col("file")), "file")) - F.col("file_n")).alias("file_offset")
-    )
-    in_file = W.partitionBy("file").orderBy("start")
-    offsets = (
-        splits.withColumn("split_offset", F.sum("n").over(in_file) - F.col("n"))
-        .join(earlier_files, "file")
-        .select(
-            "file", "start", (F.col("file_offset") + F.col("split_offset") - F.col("first_id")).alias("shift")
-        )
-    )
+    return lines, materialize(splits)
+
+
+def _shifted(lines: DataFrame, offsets: DataFrame) -> DataFrame:
+    """Add ``number``: the line's scan id moved by the ``shift`` of its split."""
     offsets = materialize(offsets)
     if offsets.count() <= BROADCAST_SPLITS:
         offsets = F.broadcast(offsets)
-    return lines.join(offsets, ["file", "start"]).select(
-        (F.col("scan_id") + F.col("shift")).alias("line_index"), "line"
+    return lines.join(offsets, ["file", "start"]).withColumn("number", F.col("scan_id") + F.col("shift"))
+
+
+def _before_in_file() -> Column:
+    """Lines in earlier splits of the same file."""
+    return F.sum("n").over(W.partitionBy("file").orderBy("start")) - F.col("n")
+
+
+def numbered_lines(spark: SparkSession, path: str | list[str], recursive: bool = False) -> DataFrame:
+    """Lines with their number over all files: ``(line_index BIGINT, line)``.
+
+    Files count in path order, numbers in their names by value, so that
+    ``part-100000`` comes after ``part-99999``. A line's number is the number
+    of lines in earlier splits plus its place in its own split. Files are put
+    in order by ranges of their names, so that no task orders all of them.
+    """
+    lines, splits = _scanned(spark, path, recursive)
+    files = splits.groupBy("file").agg(F.sum("n").alias("n"))
+    earlier = with_totals_before(files.withColumn("name", natural_order(F.col("file"))), ["name", "file"], "n", "file_offset")
+    offsets = (
+        splits.withColumn("split_offset", _before_in_file())
+        .join(earlier.select("file", "file_offset"), "file")
+        .select("file", "start", (F.col("file_offset") + F.col("split_offset") - F.col("first_id")).alias("shift"))
+    )
+    return _shifted(lines, offsets).select(F.col("number").alias("line_index"), "line")
+
+
+def lines_of_files(spark: SparkSession, path: str | list[str], recursive: bool = False) -> DataFrame:
+    """Lines with their file and their number in it: ``(file, row BIGINT, line)``."""
+    lines, splits = _scanned(spark, path, recursive)
+    offsets = splits.select("file", "start", (_before_in_file() - F.col("first_id")).alias("shift"))
+    return _shifted(lines, offsets).select("file", F.col("number").alias("row"), "line")
+
+
+def packed_shards(spark: SparkSession, path: str, shards: list[int] | None = None) -> DataFrame:
+    """``(shard_id, row, line)`` of shards that ``write_packed_shards`` wrote, ``row`` counting from 0 in each.
+
+    Only the files that hold any of ``shards`` are read. A line meets the few
+    shards that share its block of `BLOCK_ROWS` lines, and is that one's in
+    whose range it lies.
+    """
+    manifest = spark.read.parquet(f"{path}/{MANIFEST}")
+    paths: str | list[str] = path
+    if shards is not None:
+        manifest = manifest.where(F.col("shard_id").isin(*shards))
+        files = [r["file"] for r in manifest.select("file").distinct().collect()]
+        if not files:
+            return spark.createDataFrame([], "shard_id long, row long, line string")
+        paths = [f"{path}/part-{n:05d}-*" for n in sorted(files)]
+    last = F.col("first_row") + F.col("rows") - 1
+    blocks = F.sequence(F.floor(F.col("first_row") / BLOCK_ROWS), F.floor(last / BLOCK_ROWS))
+    ranges = manifest.select("shard_id", "file", "first_row", "rows", F.explode(blocks).alias("block"))
+    lines = lines_of_files(spark, paths).select(
+        F.regexp_extract("file", r"part-([0-9]+)-[^/]*$", 1).cast("int").alias("file"), "row", "line",
+        F.floor(F.col("row") / BLOCK_ROWS).alias("block"),
+    )
+    inside = (F.col("row") >= F.col("first_row")) & (F.col("row") < F.col("first_row") + F.col("rows"))
+    return lines.join(ranges, ["file", "block"]).where(inside).select(
+        F.col("shard_id").cast("long").alias("shard_id"), (F.col("row") - F.col("first_row")).alias("row"), "line"
     )

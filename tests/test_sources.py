@@ -1,12 +1,14 @@
 import pytest
 from pyspark.errors import PySparkException
 
+from corpusvec.operators import positions
 from corpusvec.sinks import (
     embedding_csv,
     ordered_token_csv,
     similar_words_yaml,
     word_count_csv,
     write_numbered_shards,
+    write_packed_shards,
     write_shards,
     write_text,
 )
@@ -14,6 +16,7 @@ from corpusvec.sinks.rows import WORD_COUNT_HEADER
 from corpusvec.sources import (
     embedding_rows,
     numbered_lines,
+    packed_shards,
     positioned_words_from_lines,
     read_lines,
     read_vocabulary_file,
@@ -152,6 +155,34 @@ def test_shards_on_disk(spark, tmp_path):
     assert tuples(spark.read.text(path).select("value")) == [(f"{i}\tline {i}",) for i in range(5)]
 
 
+def test_packed_shards(spark, tmp_path):
+    """Shards of unequal size, numbers with gaps, several to a file."""
+    sizes = {3: 2, 4: 700, 5: 1, 8: 1300, 9: 3, 20: 40}
+    rows = [(s, k, f"{s} line {k}" if k % 7 else "") for s, n in sizes.items() for k in range(n)]
+    df = spark.createDataFrame(rows, "shard_id long, line_index long, line string").repartition(5)
+    path = str(tmp_path / "packed")
+    for size in (1, 1 << 14, 1 << 30):
+        write_packed_shards(df, path, file_bytes=size)
+        files = [f for f in (tmp_path / "packed").iterdir() if f.name.startswith("part-")]
+        assert len(files) == {1: 6, 1 << 14: 3, 1 << 30: 1}[size]
+        assert tuples(packed_shards(spark, path)) == sorted(rows)
+        assert tuples(packed_shards(spark, path, [20, 8, 7])) == [r for r in sorted(rows) if r[0] in (8, 20)]
+        assert packed_shards(spark, path, [7]).count() == 0
+        # The folder is plain text for all others.
+        assert read_lines(spark, path, recursive=True).count() == len(rows)
+    write_packed_shards(df.limit(0), path)
+    assert spark.read.parquet(f"{path}/_manifest").count() == 0
+
+
+def test_totals_before_by_ranges_of_names(spark, monkeypatch):
+    monkeypatch.setattr(positions, "LEVEL_BITS", 4)
+    names = [f"n{i:03d}" for i in range(200)]
+    df = spark.createDataFrame([(n, i + 1) for i, n in enumerate(names)], "name string, n long").repartition(7)
+    got = tuples(positions.with_totals_before(df, ["name"], "n", "before"))
+    assert got == [(n, i + 1, i * (i + 1) // 2) for i, n in enumerate(names)]
+    assert positions.with_totals_before(df.limit(0), ["name"], "n", "before").count() == 0
+
+
 def test_yaml(spark):
     nested = spark.createDataFrame(
         [("a", [(1, "b", 0.5), (2, "c", -0.25)]), ("z", [])],
