@@ -2,22 +2,22 @@
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
 from collections.abc import Iterator
+from dataclasses import dataclass
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusvec.llm.common import stored
+from corpusvec.llm.common import slices_of, stored
 from corpusvec.llm.membership import split_by
-from corpusvec.llm.word_blocks import text_slices
 
 #: ASCII letters, A-Z as a-z, and all beyond ASCII make terms; the rest parts them.
-LETTERS = bytes(b | 0x20 if chr(b).isascii() and chr(b).isalpha() else b if b >= 0x80 else 0x20 for b in range(256))
+LETTERS = np.array([b | 0x20 if chr(b).isascii() and chr(b).isalpha() else b if b >= 0x80 else 0 for b in range(256)], np.uint8)
 #: Follows a complete term; no term holds this byte.
 END = b"\x00"
 
@@ -27,12 +27,14 @@ FIRST_LEVEL = 2
 #: many are kept. With very many, more are counted in vain, none are lost.
 BITS = 1 << 25
 #: Entries that a task counts before it hands them on.
-FLUSH = 1 << 18
+FLUSH = 1 << 19
+#: Bytes of texts that a task looks at together.
+SLICE = 1 << 22
 
 #: What shares are counted in.
 UNIT = 1_000_000_000
 #: Sources, and terms x sources, that are compared in one group.
-TILE, CELLS = 256, 1 << 20
+TILE, CELLS = 256, 1 << 17
 
 
 def with_groups(docs: DataFrame) -> DataFrame:
@@ -43,11 +45,93 @@ def with_groups(docs: DataFrame) -> DataFrame:
     )
 
 
+# --- terms of a slice of rows -----------------------------------------------
+
+
+@dataclass
+class Terms:
+    """The terms of a slice of rows: each distinct ``(lang, term)`` once, and where they stand."""
+
+    langs: pa.Array
+    #: For each distinct pair the place of its language, and its term.
+    lang: np.ndarray
+    term: pa.Array
+    #: For each occurrence its distinct pair, and its row.
+    pair: np.ndarray
+    row: np.ndarray
+
+
+def numbered(keys: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys, all below ``size``, and for each key its place among them."""
+    if size > 8 * len(keys):
+        return np.unique(keys, return_inverse=True)
+    seen = np.zeros(size, bool)
+    seen[keys] = True
+    return np.flatnonzero(seen), (np.cumsum(seen) - 1)[keys]
+
+
+def codes_of(coded: pa.DictionaryArray) -> np.ndarray:
+    return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def numbered_pairs(first: np.ndarray, second: np.ndarray, n_first: int, n_second: int) -> tuple[np.ndarray, ...]:
+    """Distinct pairs of numbers, as their two halves, and for each pair its place among them."""
+    width = max(1, n_second)
+    pairs, place = numbered(first * np.int64(width) + second, n_first * width)
+    return *np.divmod(pairs, width), place
+
+
+def counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys in order, and how often each is there."""
+    keys = np.sort(keys)
+    opens = np.flatnonzero(np.diff(keys, prepend=-1))
+    return keys[opens], np.diff(np.append(opens, len(keys)))
+
+
+def terms_in(part: pa.RecordBatch, least_bytes: int = 0) -> Terms:
+    """Terms of ``least_bytes`` or more, cut out of the texts' bytes all at once."""
+    texts = part.column(part.schema.get_field_index("text")).cast(pa.large_binary())
+    _, offsets, data = texts.buffers()
+    ends = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    folded = LETTERS[np.frombuffer(data or b"", np.uint8)[ends[0] : ends[-1]]]
+    ends = ends - ends[0]
+    inside = folded != 0
+    opens, closes = inside.copy(), inside.copy()
+    opens[1:] &= ~inside[:-1]
+    closes[:-1] &= ~inside[1:]
+    held = np.diff(ends) > 0
+    first, last = ends[:-1][held], ends[1:][held] - 1
+    opens[first], closes[last] = inside[first], inside[last]
+    begins = np.flatnonzero(opens)
+    sizes = np.flatnonzero(closes) - begins + 1
+    # Without what parts them terms lie end to end.
+    starts = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+    terms = pa.Array.from_buffers(pa.large_binary(), len(begins), [None, pa.py_buffer(starts), pa.py_buffer(folded[inside])])
+    row = np.searchsorted(ends, begins, side="right") - 1
+    if least_bytes > 1:
+        long = sizes >= least_bytes
+        terms, row = terms.filter(pa.array(long)), row[long]
+    coded = terms.dictionary_encode()
+    lang = part.column(part.schema.get_field_index("lang")).cast(pa.binary()).dictionary_encode()
+    of, at, pair = numbered_pairs(codes_of(lang)[row], codes_of(coded), len(lang.dictionary), len(coded.dictionary))
+    return Terms(lang.dictionary, of, coded.dictionary.take(pa.array(at)), pair, row)
+
+
+def summed(tables: list[pa.Table], keys: list[str], value: str, distinct: bool = False) -> pa.Table:
+    """One row for each of the keys, with the sum of the values (the greatest where ``distinct``)."""
+    kind = "max" if distinct else "sum"
+    sums = pa.concat_tables(tables).group_by(keys).aggregate([(value, kind)])
+    return sums.rename_columns([*keys, value] if sums.column_names[0] == keys[0] else [value, *keys]).select([*keys, value])
+
+
 # --- terms of enough documents, by growing prefixes -------------------------
 
 
-def place_of(lang: bytes, prefix: bytes) -> int:
-    return crc32(prefix, crc32(lang + END)) % BITS
+def places(langs: pa.Array, lang: np.ndarray, prefixes: pa.Array) -> np.ndarray:
+    """The bit of each ``(lang, prefix)``, a language being given by its place."""
+    fronts = np.array([crc32(name + END) for name in langs.to_pylist()], np.int64)[lang].tolist()
+    # Objects come from Arrow in one go, which is far faster than as a list.
+    return np.array(list(map(crc32, prefixes.to_numpy(zero_copy_only=False), fronts)), np.int64) % BITS
 
 
 def place(lang: Column, prefix: Column) -> Column:
@@ -66,8 +150,8 @@ def bits_of(prefixes: DataFrame) -> Broadcast:
     return prefixes.sparkSession.sparkContext.broadcast(bytes(table))
 
 
-def is_set(bits: bytes, at: int) -> int:
-    return bits[at >> 3] >> (at & 7) & 1
+def are_set(bits: bytes, at: np.ndarray) -> np.ndarray:
+    return np.frombuffer(bits, np.uint8)[at >> 3] >> (at & 7) & 1 == 1
 
 
 def prefix_documents(texts: DataFrame, size: int, bits: Broadcast | None, by_id: bool) -> DataFrame:
@@ -80,34 +164,44 @@ def prefix_documents(texts: DataFrame, size: int, bits: Broadcast | None, by_id:
     """
     half = size // 2
 
-    def of_text(lang: bytes, text: bytes, table: bytes | None) -> set[bytes]:
-        terms = set(text.translate(LETTERS).split())
-        if table is None:
-            return {(t + END)[:size] for t in terms}
-        front = crc32(lang + END)
-        return {(t + END)[:size] for t in terms if len(t) >= half and is_set(table, crc32(t[:half], front) % BITS)}
+    def is_kept(found: Terms, table: bytes) -> np.ndarray:
+        parents = pc.binary_slice(found.term, 0, half).dictionary_encode()
+        lang, parent, place_of = numbered_pairs(found.lang, codes_of(parents), len(found.langs), len(parents.dictionary))
+        return are_set(table, places(found.langs, lang, parents.dictionary.take(pa.array(parent))))[place_of]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = bits.value if bits is not None else None
-        found: defaultdict = defaultdict(set if by_id else Counter)
-
-        def flush() -> pa.RecordBatch:
-            rows = [(lang, doc_id, prefix) for (lang, doc_id), own in found.items() for prefix in own]
-            n = [1] * len(rows) if by_id else [k for own in found.values() for k in own.values()]
-            lang, doc_id, prefix = zip(*rows) if rows else ((), (), ())
-            found.clear()
-            return pa.RecordBatch.from_arrays(
-                [pa.array(lang, pa.binary()).cast(pa.string()), pa.array(doc_id, pa.int64()), pa.array(prefix, pa.binary()), pa.array(n, pa.int64())],
+        waiting: list[pa.Table] = []
+        for part in slices_of(batches, limit=SLICE):
+            found = terms_in(part, half if table is not None else 0)
+            whole = pc.binary_join_element_wise(found.term, pa.scalar(END, pa.large_binary()), pa.scalar(b"", pa.large_binary()))
+            prefixes = pc.binary_slice(whole, 0, size).dictionary_encode()
+            lang, prefix, number = numbered_pairs(found.lang, codes_of(prefixes), len(found.langs), len(prefixes.dictionary))
+            row = found.row
+            if table is not None:
+                held = is_kept(found, table)[found.pair]
+                row, number = row[held], number[found.pair[held]]
+            else:
+                number = number[found.pair]
+            width = max(1, len(lang))
+            row, number = np.divmod(counted(row * np.int64(width) + number)[0], width)
+            if by_id:
+                ids, at, n = part.column("doc_id").take(pa.array(row)), number, np.ones(len(row), np.int64)
+            else:
+                n = np.bincount(number, minlength=width)[: len(lang)]
+                at = np.flatnonzero(n)
+                ids, n = pa.nulls(len(at), pa.int64()), n[at]
+            waiting.append(pa.table(
+                [found.langs.take(pa.array(lang[at])).cast(pa.string()), ids, prefixes.dictionary.take(pa.array(prefix[at])).cast(pa.binary()), pa.array(n)],
                 names=["lang", "doc_id", "prefix", "n_docs"],
-            )
-
-        for part, own in text_slices(batches):
-            ids = part.column("doc_id").to_pylist() if by_id else [None] * len(own)
-            for doc_id, lang, text in zip(ids, part.column("lang").cast(pa.binary()).to_pylist(), own):
-                found[lang, doc_id].update(of_text(lang, text, table))
-            if sum(map(len, found.values())) >= FLUSH:
-                yield flush()
-        yield flush()
+            ))
+            if sum(t.num_rows for t in waiting) >= FLUSH:
+                # What is still too much after it was put together goes on.
+                waiting = [summed(waiting, ["lang", "doc_id", "prefix"], "n_docs", distinct=by_id)]
+                if waiting[0].num_rows >= FLUSH // 2:
+                    yield from waiting.pop().to_batches()
+        if waiting:
+            yield from summed(waiting, ["lang", "doc_id", "prefix"], "n_docs", distinct=by_id).to_batches()
 
     rows = texts.select("doc_id", "lang", "text").mapInArrow(count, "lang string, doc_id long, prefix binary, n_docs long")
     return rows.dropDuplicates(["lang", "doc_id", "prefix"]) if by_id else rows
@@ -147,37 +241,52 @@ def frequent_terms(texts: DataFrame, least: int) -> DataFrame:
 
 
 def term_counts(texts: DataFrame, kept: DataFrame) -> DataFrame:
-    """``(lang, source, term, n)`` of kept terms that occur, summed in each task before they move."""
+    """``(lang, source, term, n)`` of kept terms that occur.
+
+    Summed in each task before they move; then a term has one row a task, with
+    all its sources.
+    """
     bits = bits_of(kept)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = bits.value
-        found: defaultdict = defaultdict(Counter)
-
-        def flush() -> pa.RecordBatch:
-            rows = [
-                (lang, source, term, n)
-                for (lang, source), own in found.items() for term, n in own.items()
-                if is_set(table, place_of(lang, term + END))
-            ]
-            lang, source, term, n = zip(*rows) if rows else ((), (), (), ())
-            found.clear()
-            return pa.RecordBatch.from_arrays(
-                [*(pa.array(c, pa.binary()).cast(pa.string()) for c in (lang, source, term)), pa.array(n, pa.int64())],
-                names=["lang", "source", "term", "n"],
-            )
-
-        for part, own in text_slices(batches):
-            groups = zip(*(part.column(c).cast(pa.binary()).to_pylist() for c in ("lang", "source")))
-            for group, text in zip(groups, own):
-                found[group].update(text.translate(LETTERS).split())
-            if sum(map(len, found.values())) >= FLUSH:
-                yield flush()
-        yield flush()
-
-    rows = texts.select("lang", "source", "text").mapInArrow(count, "lang string, source string, term string, n long")
+        waiting: list[pa.Table] = []
+
+        def by_term() -> Iterator[pa.RecordBatch]:
+            lists = waiting.pop().group_by(["lang", "term"]).aggregate([("source", "list"), ("n", "list")])
+            yield from lists.select(["lang", "term", "source_list", "n_list"]).rename_columns(["lang", "term", "sources", "times"]).to_batches()
+
+        for part in slices_of(batches, limit=SLICE):
+            held = terms_in(part)
+            source = part.column("source").dictionary_encode()
+            whole = pc.binary_join_element_wise(held.term, pa.scalar(END, pa.large_binary()), pa.scalar(b"", pa.large_binary()))
+            stay = are_set(table, places(held.langs, held.lang, whole))[held.pair]
+            width = max(1, len(source.dictionary))
+            keys, times = counted(held.pair[stay] * np.int64(width) + codes_of(source)[held.row[stay]])
+            pair, at = np.divmod(keys, width)
+            waiting.append(pa.table(
+                [
+                    held.langs.take(pa.array(held.lang[pair])).cast(pa.string()), held.term.take(pa.array(pair)).cast(pa.binary()).cast(pa.string()),
+                    source.dictionary.take(pa.array(at)), pa.array(times),
+                ],
+                names=["lang", "term", "source", "n"],
+            ))
+            if sum(t.num_rows for t in waiting) >= 2 * FLUSH:
+                waiting = [summed(waiting, ["lang", "term", "source"], "n")]
+                if waiting[0].num_rows >= FLUSH:
+                    yield from by_term()
+        if waiting:
+            waiting = [summed(waiting, ["lang", "term", "source"], "n")]
+            yield from by_term()
+
+    rows = texts.select("lang", "source", "text").mapInArrow(count, "lang string, term string, sources array<string>, times array<long>")
+    # Sums by source need no further shuffle where a term's rows are together.
+    each = rows.repartition("lang", "term").select("lang", "term", F.inline(F.arrays_zip("sources", "times")))
     terms = kept.select("lang", F.expr("cast(substr(prefix, 1, length(prefix) - 1) as string)").alias("term"))
-    return rows.groupBy("lang", "source", "term").agg(F.sum("n").alias("n")).join(terms, ["lang", "term"], "left_semi")
+    return (
+        each.groupBy("lang", "term", F.col("sources").alias("source")).agg(F.sum("times").alias("n"))
+        .join(terms, ["lang", "term"], "left_semi").select("lang", "source", "term", "n")
+    )
 
 
 def share(n: str, total: str, terms: str) -> Column:
@@ -211,10 +320,12 @@ def compare_group(key: tuple, rows: pa.Table) -> pa.Table:
     shares[codes.indices.to_numpy(zero_copy_only=False), at[~is_source]] = p[~is_source]
     n_terms = rows.column("n_terms").to_numpy()[is_source][0]
     tile_a, tile_b = key[2].as_py(), key[3].as_py()
-    right = np.flatnonzero(tile_of == tile_b)
+    # By name, as every bucket has to take the two sources in the same order.
+    by_name = np.argsort(names.to_numpy(zero_copy_only=False), kind="stable")
+    left, right = (by_name[tile_of[by_name] == t] for t in (tile_a, tile_b))
     out = []
-    for a in np.flatnonzero(tile_of == tile_a):
-        others = right[right > a] if tile_a == tile_b else right
+    for k, a in enumerate(left):
+        others = right[k + 1 :] if tile_a == tile_b else right
         if not len(others):
             continue
         apart = shares[:, others] - shares[:, [a]]

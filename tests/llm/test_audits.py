@@ -2,7 +2,10 @@
 
 import re
 from collections import Counter, defaultdict
+from itertools import permutations
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -153,10 +156,23 @@ def test_divergence_in_tiles_and_buckets(spark, monkeypatch):
     assert sorted(tuple(r) for r in source_divergence(df, 5, 3).collect()) == plain_divergence(rows, 5, 3)
 
 
+def test_a_group_is_the_same_in_any_order_of_rows():
+    rows = pa.table({
+        "source": ["c", "a", "b", "a", "c"], "term": [None, None, None, "x", "y"], "p": [10, 20, 30, 400, 700],
+        "tile": [0] * 5, "n_terms": [3, 3, 3, 0, 0],
+    })
+    key = [pa.scalar(v) for v in ("en", 0, 0, 0)]
+    results = {
+        tuple(sorted(tuple(r.values()) for r in divergence.compare_group(key, rows.take(list(order))).to_pylist()))
+        for order in permutations(range(5))
+    }
+    assert len(results) == 1
+    assert [(a, b) for _, a, b, _ in results.pop()] == [("a", "b"), ("a", "c"), ("b", "c")]
+
+
 def test_prefixes_that_share_a_bit_do_no_harm(spark, monkeypatch):
-    monkeypatch.setattr(divergence, "place_of", lambda lang, prefix: 7)
+    monkeypatch.setattr(divergence, "places", lambda langs, lang, prefixes: np.full(len(prefixes), 7))
     monkeypatch.setattr(divergence, "place", lambda lang, prefix: F.lit(7))
-    monkeypatch.setattr(divergence, "crc32", lambda *a: 7)
     rows = sample_rows()
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
     assert sorted(tuple(r) for r in source_divergence(df, 5, 3).collect()) == plain_divergence(rows, 5, 3)
