@@ -295,6 +295,15 @@ WHERE NOT regexp_matches(trim(value, {TRIMMED}), '^[+-]?[0-9]+_(?s:.+)$') GROUP
 SELECT CAST(p_partkey AS VARCHAR) AS token_id, p_name || ', ' || p_brand AS word,
        CAST(p_size AS DOUBLE) AS size, p_retailprice AS price
 FROM part WHERE p_partkey % 10 NOT IN (3, 7)""",
+    "reject_embedding_csv": """
+SELECT p_partkey || ',' || p_name AS value, 'no numbers' AS reason FROM part WHERE p_partkey % 10 = 7
+UNION ALL SELECT p_partkey || ',' || p_name || ',high', 'numbers' FROM part WHERE p_partkey % 10 = 7
+UNION ALL SELECT p_partkey || ',"' || p_name || ', ' || p_brand || '",' || p_size || ',' || p_retailprice || ',high', 'numbers'
+FROM part WHERE p_partkey % 10 NOT IN (3, 7)""",
+    "reject_token_csv": """
+SELECT 'x' || p_partkey || ',"' || p_name || '",[' || p_size || ' 7]' AS value, 'position' AS reason FROM part WHERE p_partkey % 10 = 5
+UNION ALL SELECT p_partkey || ',"' || p_name || '"', 'tokens' FROM part WHERE p_partkey % 10 = 7
+UNION ALL SELECT p_partkey || ',"' || p_name || '",[1 two]', 'tokens' FROM part WHERE p_partkey % 10 = 9""",
     "split_csv": f"""WITH {LINES},
 segments AS (
   SELECT doc_id, line_no, string_split('7,"a, b", ' || line || ',x"y,z', '"') AS s FROM lines),
@@ -377,6 +386,8 @@ UNION ALL SELECT 256, hex(pair) FROM best""",
     "counted_tokens_one_merge": COUNTED_ONE_MERGE,
     "word_count_csv_scan": COUNTED_ONE_MERGE,
     "vocabulary": f"""WITH {LETTERS}, {CLEAN_COUNTS}, {learned(MERGES)}
+SELECT id AS token_id, upper(t) AS token FROM tokens""",
+    "vocabulary_file_scan": f"""WITH {LETTERS}, {CLEAN_COUNTS}, {learned(MERGES)}
 SELECT id AS token_id, upper(t) AS token FROM tokens""",
     "counted_tokens": COUNTED,
     "counted_tokens_by_join": COUNTED,

@@ -18,6 +18,7 @@ from corpusvec.session import materialize, scratch_path, ship_package
 from corpusvec.sinks import (
     embedding_csv,
     ordered_token_csv,
+    vocabulary_rows,
     word_count_csv,
     write_numbered_shards,
     write_packed_shards,
@@ -33,9 +34,10 @@ from corpusvec.sources import (
     positioned_words_from_lines,
     read_documents,
     read_lines,
+    read_vocabulary_file,
     token_rows,
 )
-from corpusvec.sources.rows import EMBEDDING_HEADER, TOKEN_HEADER, rejected_positions
+from corpusvec.sources.rows import EMBEDDING_HEADER, TOKEN_HEADER, rejected_embeddings, rejected_positions, rejected_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -212,9 +214,8 @@ def reject_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejected.groupBy("value").agg(F.count("*").alias("n"))
 
 
-@query
-def parse_embedding_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """CSV lines with quoted commas from ``part``, headers in between."""
+def embedding_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV lines with quoted commas from ``part``, headers and lines without numbers in between."""
     part = spark.read.parquet(f"{sf_dir}/part.parquet")
     key = F.col("p_partkey").cast("string")
     line = F.concat_ws(
@@ -227,12 +228,41 @@ def parse_embedding_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("p_partkey") % 10 == 7, F.concat_ws(",", key, "p_name"))
         .otherwise(line)
     )
-    return embedding_rows(part.select(kinds.alias("value"))).select(
+    return part.select(kinds.alias("value"))
+
+
+@query
+def parse_embedding_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_rows(embedding_lines(spark, sf_dir)).select(
         "token_id", "word",
         F.get("embedding", F.lit(0)).alias("size"), F.get("embedding", F.lit(1)).alias("price"),
     )
 
 
+@query
+def reject_embedding_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines without numbers, and lines with a word where a number should be."""
+    good = embedding_lines(spark, sf_dir)
+    return rejected_embeddings(good.unionByName(good.select(F.concat("value", F.lit(",high")).alias("value"))))
+
+
+@query
+def reject_token_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ordered-token lines from ``part``: headers, no position, no tokens, and tokens that are none."""
+    part = spark.read.parquet(f"{sf_dir}/part.parquet")
+    key, word = F.col("p_partkey").cast("string"), F.concat(F.lit('"'), "p_name", F.lit('"'))
+    kind = F.col("p_partkey") % 10
+    tokens = F.concat(F.lit("["), F.col("p_size").cast("string"), F.lit(" 7]"))
+    line = (
+        F.when(kind == 3, F.lit(TOKEN_HEADER))
+        .when(kind == 5, F.concat_ws(",", F.concat(F.lit("x"), key), word, tokens))
+        .when(kind == 7, F.concat_ws(",", key, word))
+        .when(kind == 9, F.concat_ws(",", key, word, F.lit("[1 two]")))
+        .otherwise(F.concat_ws(",", key, word, tokens))
+    )
+    return rejected_tokens(part.select(line.alias("value")))
+
+
 @query
 def split_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line of every document as CSV, with a quoted, a comma and an open quote field."""
@@ -563,6 +593,14 @@ def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_vocabulary(spark, sf_dir).select("token_id", F.hex("token_bytes").alias("token"))
 
 
+@query
+def vocabulary_file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The learned vocabulary written as a file of base64 and rank, and read back."""
+    path = scratch_path(spark, "vocabulary")
+    write_text(vocabulary_rows(corpus_vocabulary(spark, sf_dir)), path)
+    return read_vocabulary_file(spark, path).select("token_id", F.hex("token_bytes").alias("token"))
+
+
 def encoded_with_one_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words are counted once, for learning and for encoding."""
     counts = materialize(word_counts(spark, sf_dir))

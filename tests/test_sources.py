@@ -22,7 +22,7 @@ from corpusvec.sources import (
     read_vocabulary_file,
     token_rows,
 )
-from corpusvec.sources.rows import EMBEDDING_HEADER, TOKEN_HEADER, rejected_positions
+from corpusvec.sources.rows import EMBEDDING_HEADER, TOKEN_HEADER, rejected_embeddings, rejected_positions, rejected_tokens
 
 
 def lines(spark, values):
@@ -183,6 +183,19 @@ def test_totals_before_by_ranges_of_names(spark, monkeypatch):
     assert positions.with_totals_before(df.limit(0), ["name"], "n", "before").count() == 0
 
 
+def test_rejected_rows(spark):
+    tokens = lines(spark, [TOKEN_HEADER, "1,a,[1 2]", "x,a,[1]", "2,a", "3,a,[]", "4,a,[1 b]", "", "5,\"a,b\",[7]"])
+    assert tuples(rejected_tokens(tokens)) == [
+        ("", "position"), ("2,a", "tokens"), ("3,a,[]", "tokens"), ("4,a,[1 b]", "tokens"), ("x,a,[1]", "position"),
+    ]
+    assert tuples(token_rows(tokens)) == [(1, "a", [1, 2]), (5, "a,b", [7])]
+    vectors = lines(spark, [EMBEDDING_HEADER, "1,a,0.5", "2,a", "3", "", "4,a,x", "5,a,1,", "6,\"a,b\",1e3"])
+    assert tuples(rejected_embeddings(vectors)) == [
+        ("", "no numbers"), ("2,a", "no numbers"), ("3", "no numbers"), ("4,a,x", "numbers"), ("5,a,1,", "numbers"),
+    ]
+    assert tuples(embedding_rows(vectors)) == [("1", "a", [0.5]), ("6", "a,b", [1000.0])]
+
+
 def test_yaml(spark):
     nested = spark.createDataFrame(
         [("a", [(1, "b", 0.5), (2, "c", -0.25)]), ("z", [])],
