@@ -58,7 +58,10 @@ rest AS (
   FROM kept JOIN bytes USING (doc_id) GROUP BY doc_id),
 removed AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id)
 SELECT doc_id, length(bytes.h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
-       coalesce(n_spans, 0) AS n_spans, sha256(unhex(rest.h)) AS kept_sha256
+       coalesce(n_spans, 0) AS n_spans, sha256(unhex(rest.h)) AS kept_sha256,
+       decode(unhex(array_to_string(list_transform(
+         regexp_extract_all(rest.h, '[0-7].|[CD].[89AB].|E.(?:[89AB].){2}|F.(?:[89AB].){3}|F.(?:[89AB].){1,2}|E.[89AB].|..'),
+         lambda c: CASE WHEN regexp_full_match(c, '[0-7].|[CD].[89AB].|E.(?:[89AB].){2}|F.(?:[89AB].){3}') THEN c ELSE 'EFBFBD' END), ''))) AS text
 FROM bytes JOIN rest USING (doc_id) LEFT JOIN removed USING (doc_id)""",
     "op11_periodic_runs": r"""WITH
 ids AS (

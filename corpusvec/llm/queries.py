@@ -115,6 +115,8 @@ def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select(
         "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
+        # What is left, to be read; a character that a removed run cuts becomes U+FFFD.
+        F.make_valid_utf8(F.col("kept").cast("string")).alias("text"),
     )
 
 
