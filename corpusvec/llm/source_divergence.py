@@ -120,7 +120,7 @@ def terms_in(part: pa.RecordBatch, least_bytes: int = 0) -> Terms:
 def summed(tables: list[pa.Table], keys: list[str], value: str, distinct: bool = False) -> pa.Table:
     """One row for each of the keys, with the sum of the values (the greatest where ``distinct``)."""
     kind = "max" if distinct else "sum"
-    sums = pa.concat_tables(tables).group_by(keys).aggregate([(value, kind)])
+    sums = pa.concat_tables(tables).group_by(keys, use_threads=False).aggregate([(value, kind)])
     return sums.rename_columns([*keys, value] if sums.column_names[0] == keys[0] else [value, *keys]).select([*keys, value])
 
 
@@ -253,8 +253,9 @@ def term_counts(texts: DataFrame, kept: DataFrame) -> DataFrame:
         waiting: list[pa.Table] = []
 
         def by_term() -> Iterator[pa.RecordBatch]:
-            lists = waiting.pop().group_by(["lang", "term"]).aggregate([("source", "list"), ("n", "list")])
-            yield from lists.select(["lang", "term", "source_list", "n_list"]).rename_columns(["lang", "term", "sources", "times"]).to_batches()
+            lists = waiting.pop().group_by(["lang", "term"], use_threads=False).aggregate([("source", "list"), ("n", "list")])
+            names = ["lang", "term", "sources", "times"]
+            yield from lists.select(["lang", "term", "source_list", "n_list"]).rename_columns(names).to_batches(max_chunksize=1 << 14)
 
         for part in slices_of(batches, limit=SLICE):
             held = terms_in(part)
