@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusvec.llm.common import appended, held, slices_of, texts_of
@@ -18,8 +18,11 @@ UNKNOWN = "und"
 BLOCK = 1024
 SPACE, OTHER = 0, 1
 #: Most letters that have a column of their own in the table of transitions; all
-#: others are looked up among the transitions there are.
-COLUMNS = 250
+#: others are looked up among the transitions there are. It bounds the table to
+#: some 256 bytes for each letter of a sample, whatever the script.
+COLUMNS = 62
+#: Windows that a document of a sample gives, spread over its whole text.
+WINDOWS = 4
 
 
 def symbol_table(letters: str) -> np.ndarray:
@@ -116,13 +119,17 @@ class Languages:
         seen = Counter(c for text in samples.values() for c in text.lower() if c.isalpha())
         letters = sorted(seen, key=lambda c: (-seen[c], c))
         self.table = symbol_table("".join(letters))
-        width = min(len(letters), COLUMNS) + 2
-        coded = [symbols(samples[name], self.table) for name in self.names]
-        self.width = width
-        automata = [automaton(c, width) for c in coded]
-        self.moves = [parser(table).ravel() for table, _, _ in automata]
-        self.edges = [(keys, to) for _, keys, to in automata]
-        self.bits = np.array([np.log2(len(c) + 2) for c in coded])
+        self.width = min(len(letters), COLUMNS) + 2
+        self.moves: list[np.ndarray] = []
+        self.edges: list[tuple[np.ndarray, np.ndarray]] = []
+        self.bits = np.zeros(len(self.names))
+        # One at a time: what making an automaton takes is not held for all.
+        for k, name in enumerate(self.names):
+            coded = symbols(samples[name], self.table)
+            table, keys, to = automaton(coded, self.width)
+            self.moves.append(parser(table).ravel())
+            self.edges.append((keys, to))
+            self.bits[k] = np.log2(len(coded) + 2)
 
     def phrases(self, coded: list[np.ndarray]) -> np.ndarray:
         """Phrases of each text (rows) in each language (columns)."""
@@ -170,15 +177,16 @@ class Languages:
         out[at] = 4 * np.where(to >= 0, to, np.maximum(start, 0)) + ended
         return out
 
-    def predict(self, texts: list[str]) -> list[tuple[str, float]]:
+    def predict(self, texts: list[str], least_phrase: float = 0.0) -> list[tuple[str, float]]:
         coded = [symbols(t, self.table) for t in texts]
-        cost = self.phrases(coded) * self.bits
+        phrases = self.phrases(coded)
+        cost = phrases * self.bits
         out = []
-        for c, row in zip(coded, cost, strict=True):
-            if not c.any():
+        for c, row, n in zip(coded, cost, phrases, strict=True):
+            order = np.argsort(row, kind="stable")
+            if not c.any() or len(c) < least_phrase * n[order[0]]:
                 out.append((UNKNOWN, 0.0))
                 continue
-            order = np.argsort(row, kind="stable")
             best = row[order[0]]
             second = row[order[1]] if len(row) > 1 else np.inf
             out.append((self.names[order[0]], 1.0 if np.isinf(second) else float(second / (best + second))))
@@ -189,42 +197,64 @@ def languages(samples: tuple[tuple[str, str], ...]) -> Languages:
     return held("languages", samples, lambda: Languages(dict(samples)))
 
 
+def windows(text: Column, key: Column, size: int) -> Column:
+    """`WINDOWS` windows of ``size`` characters, or the whole of a text no longer than all of them.
+
+    Each lies in its own equal part of the text, at a place that a hash chooses.
+    """
+    part = F.floor(F.char_length(text) / WINDOWS).cast("int")
+    places = [
+        F.lit(k) * part + F.pmod(F.xxhash64(key, F.lit(k)), F.greatest(part - size, F.lit(0)) + 1).cast("int")
+        for k in range(WINDOWS)
+    ]
+    cut = F.concat_ws("\n", *(F.substring(text, at + 1, F.lit(size)) for at in places))
+    return F.when(F.char_length(text) <= WINDOWS * size, text).otherwise(cut)
+
+
 def labelled_samples(labelled: DataFrame, rows: int, chars: int) -> dict[str, str]:
     """A bounded sample of labelled text for each language.
 
-    About ``rows`` documents of each language, chosen by a hash of the id, give
-    at most ``chars`` characters over all languages together, shared evenly.
+    At most ``rows`` different documents of each language, chosen by a hash of
+    id and text, give ``chars // rows`` characters each, from all over the text.
     """
-    counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    keyed = labelled.withColumn("key", F.xxhash64("doc_id", "text"))
+    # Different ones are counted, so that copies make no sample smaller.
+    counts = {r["lang"]: r["n"] for r in keyed.groupBy("lang").agg(F.approx_count_distinct("key").alias("n")).collect()}
     if not counts:
         return {}
-    share = max(1, chars // len(counts))
-    each = max(1, 4 * share // rows)
-    rate: Column = F.lit(0.0)
-    for lang, n in counts.items():
-        rate = F.when(F.col("lang") == lang, min(1.0, rows / n)).otherwise(rate)
-    spread = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / float(1 << 20)
-    chosen = labelled.where(spread < rate).select("doc_id", "lang", F.substring("text", 1, each).alias("text"))
-    texts: dict[str, list[str]] = {lang: [] for lang in counts}
-    for r in sorted(chosen.collect(), key=lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["text"])):
-        texts[r["lang"]].append(r["text"])
-    return {lang: "\n".join(parts)[:share] for lang, parts in texts.items() if parts}
+    rates = keyed.sparkSession.createDataFrame([(k, min(1.0, 2 * rows / n)) for k, n in counts.items()], "lang string, rate double")
+    # Twice the rows that are wanted, so that there are hardly ever too few.
+    spread = F.pmod(F.xxhash64("key"), F.lit(1 << 30)) / float(1 << 30)
+    some = keyed.join(F.broadcast(rates), "lang").where(spread <= F.col("rate"))
+    size = max(1, chars // (WINDOWS * rows))
+    some = some.select("lang", "key", windows(F.col("text"), F.col("key"), size).alias("part")).dropDuplicates(["lang", "key"])
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("key"), "key"))
+    chosen = some.withColumn("rank", rank).where(F.col("rank") <= rows).collect()
+    texts: dict[str, list[str]] = {}
+    for r in sorted(chosen, key=lambda r: (r["lang"], r["rank"])):
+        texts.setdefault(r["lang"], []).append(r["part"])
+    return {lang: "\n".join(parts) for lang, parts in texts.items()}
 
 
 def with_language(
-    docs: DataFrame, labelled: DataFrame, sample_rows: int = 128, sample_chars: int = 1 << 17
+    docs: DataFrame, labelled: DataFrame, sample_rows: int = 128, sample_chars: int = 1 << 15, least_phrase: float = 0.0
 ) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score``, which take the place of columns so named.
 
     ``labelled`` holds ``doc_id, text, lang``; rows without text or language
-    are passed over. From it comes a sample of about ``sample_rows`` documents
-    a language and ``sample_chars`` characters in all. Each language gets the
+    are passed over. From it comes a sample of at most ``sample_rows`` documents
+    and ``sample_chars`` characters a language, taken in windows from all over
+    the documents' texts. Each language gets the
     suffix automaton of its sample; a text is cut greedily into the longest
     phrases that occur in it, block by block of `BLOCK` symbols, and the
     language needing the fewest phrases, each weighed by the bits of a place in
     the sample, wins; ties go to the first name. ``score`` is the second's cost
     over the sum of both: 0.5 for a tie, 1 without a second.
 
+    A text whose phrases in the winning language hold fewer than
+    ``least_phrase`` letters and spaces on average is in none of the languages
+    and is ``und`` with score 0; the default rejects nothing.
+
     A null or empty text, or one without a letter, is ``und`` with score 0, as
     is every text if nothing is labelled. Rows with equal ids each get a row;
     an empty table gives none.
@@ -238,9 +268,9 @@ def with_language(
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = languages(sent.value) if sent.value else None
-        for part in slices_of(batches):
+        for part in slices_of(batches, limit=1 << 21):
             texts = [t or "" for t in part.column("text").to_pylist()]
-            found = model.predict(texts) if model else [(UNKNOWN, 0.0)] * len(texts)
+            found = model.predict(texts, least_phrase) if model else [(UNKNOWN, 0.0)] * len(texts)
             yield pa.RecordBatch.from_arrays(
                 [*part.columns, pa.array([lang for lang, _ in found], pa.string()), pa.array([score for _, score in found], pa.float64())],
                 names=[*part.schema.names, "lang_pred", "score"],
@@ -249,6 +279,6 @@ def with_language(
     return own.mapInArrow(predict, schema)
 
 
-def identify_language(docs: DataFrame, labelled: DataFrame, **options: int) -> DataFrame:
+def identify_language(docs: DataFrame, labelled: DataFrame, **options: float) -> DataFrame:
     """Only ``doc_id, lang_pred, score`` of `with_language`."""
     return with_language(texts_of(docs), labelled, **options).select("doc_id", "lang_pred", "score")
