@@ -62,6 +62,14 @@ def appended(docs: DataFrame, columns: dict[str, str]) -> tuple[DataFrame, str]:
     return own, f"{own.schema.toDDL()}, {added}"
 
 
+def unused(name: str, taken: list[str]) -> str:
+    """``name``, or a longer one where a table has a column so named."""
+    known = {t.lower() for t in taken}
+    while name.lower() in known:
+        name += "_"
+    return name
+
+
 def bound_batches(spark: SparkSession, limit: str = "4m") -> None:
     """Let Arrow batches between the JVM and Python hold bytes, not rows, of a bounded number.
 

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusvec.llm.common import NO_ID, stored, texts_of
+from corpusvec.llm.common import NO_ID, stored, texts_of, unused
 from corpusvec.llm.lexicon import frequent_from
 from corpusvec.llm.membership import split_by
 
@@ -25,8 +25,8 @@ EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Z
 IP = r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-#: Words of letters, the terms that may give something away.
-TERM = r"[\p{L}]{3,}"
+#: Words of letters and digits of any length, the terms that may give something away.
+TERM = r"[\p{L}\p{M}\p{N}]++"
 
 
 def spans(text: Column, pattern: str, wanted: Callable[[Column], Column] = lambda value: F.lit(True)) -> Column:
@@ -215,8 +215,8 @@ def find_personal_data(docs: DataFrame, share: float = 0.8, support: int = 2) ->
 
     ``base`` holds the spans of the four patterns as ``start, kind, end,
     value``. ``terms`` holds, as ``start, kind, end, value``, every occurrence
-    of the words that give away a value which the same text holds, wherever in
-    the text: those that stand with the value in ``support`` different texts or
+    of the words of letters and digits that give away a value which the same
+    text holds, wherever in the text: those that stand with the value in ``support`` different texts or
     more and carry ``share`` of its information or more, by counts over all
     documents. What is inside a base span is no word. ``text_hash`` tells texts
     of equal ids apart.
@@ -227,9 +227,15 @@ def find_personal_data(docs: DataFrame, share: float = 0.8, support: int = 2) ->
     texts = texts_of(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID))).withColumn("text_hash", F.xxhash64("text"))
     with_base = texts.withColumn("base", protected_spans(F.col("text")))
     found = stored(with_base.drop("text"), "protected")
-    documents = found.count()
+    key = ["doc_id", "text_hash"]
+    # Equal rows are one document in all counts. They are few as a rule, and
+    # only texts whose id repeats move to be told apart.
+    repeated = stored(found.groupBy(*key).agg((F.count("*") - 1).alias("more")).where("more > 0"), "repeated-rows")
+    documents = found.count() - repeated.agg(F.coalesce(F.sum("more"), F.lit(0))).first()[0]
     held = stored(recurring_values(found, documents, support), "recurring-values")
-    clear = with_base.select("doc_id", "text_hash", masked(F.col("text"), F.col("base")).alias("clear"))
+    again, single = split_by(texts, repeated.select("doc_id"))
+    once = single.unionByName(again.dropDuplicates(key)).withColumn("base", protected_spans(F.col("text")))
+    clear = once.select(masked(F.col("text"), F.col("base")).alias("clear"))
     # Counted in each task before they move; a term of every text is no burden.
     counts = clear.select(F.explode(distinct_terms(F.col("clear"))).alias("term")).groupBy("term").agg(F.count("*").alias("n"))
     counts = stored(counts, "term-counts")
@@ -278,13 +284,14 @@ def sanitise(docs: DataFrame, **options: float) -> DataFrame:
     A null text stays null.
     """
     found = find_personal_data(docs, **options).dropDuplicates(["doc_id", "text_hash"])
-    spans = found.where(F.size("base") + F.size("terms") > 0).select(
-        F.coalesce("doc_id", F.lit(NO_ID)).alias("_id"), F.col("text_hash").alias("_hash"), F.concat("base", "terms").alias("_spans")
+    doc, text_hash, marks = (unused(n, docs.columns) for n in ("_id", "_hash", "_spans"))
+    marked = found.where(F.size("base") + F.size("terms") > 0).select(
+        F.coalesce("doc_id", F.lit(NO_ID)).alias(doc), F.col("text_hash").alias(text_hash), F.concat("base", "terms").alias(marks)
     )
-    spans = stored(spans, "spans")
-    keyed = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)))
-    few, clean = split_by(keyed, spans.select("_id"), "_id")
-    few = few.withColumn("_hash", F.xxhash64(F.coalesce("text", F.lit("")))).join(spans, ["_id", "_hash"], "left")
-    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(sanitised(F.col("text"), F.col("_spans")))
+    marked = stored(marked, "spans")
+    keyed = docs.withColumn(doc, F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)))
+    few, clean = split_by(keyed, marked.select(doc), doc)
+    few = few.withColumn(text_hash, F.xxhash64(F.coalesce("text", F.lit("")))).join(marked, [doc, text_hash], "left")
+    text = F.when(F.col(marks).isNull(), F.col("text")).otherwise(sanitised(F.col("text"), F.col(marks)))
     own = [F.col(f"`{c}`") for c in docs.columns]
     return few.withColumn("text", text).select(*own).unionByName(clean.select(*own))
