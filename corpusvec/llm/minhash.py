@@ -14,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusvec.llm.common import rows_of, stored, texts_of
+from corpusvec.llm.common import NO_ID, rows_of, stored, texts_of
 from corpusvec.llm.components import components
 from corpusvec.llm.membership import split_by
 from corpusvec.llm.shingles import shingle_set
@@ -57,7 +57,7 @@ def signature(shingles: np.ndarray, n: int) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, forest: Forest) -> DataFrame:
-    """``doc_id, n_shingles, set_id, signature`` of every document.
+    """``doc_id, text_hash, n_shingles, set_id, signature`` of every ``doc_id, text, text_hash``.
 
     ``set_id`` is a 128-bit digest of the whole set; minima are big-endian, so
     that bytes sort as they do.
@@ -65,19 +65,25 @@ def sketches(docs: DataFrame, forest: Forest) -> DataFrame:
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in rows_of(batches):
-            ids, sizes, sets, minima = [], [], [], []
-            for doc_id, text in rows:
+            ids, hashes, sizes, sets, minima = [], [], [], [], []
+            for doc_id, text, text_hash in rows:
                 found = shingle_set(text)
                 ids.append(doc_id)
+                hashes.append(text_hash)
                 sizes.append(len(found))
                 sets.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None)
                 minima.append(signature(found, forest.trees * forest.depth).astype(">u4").tobytes() if len(found) else None)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sets, pa.binary()), pa.array(minima, pa.binary())],
-                names=["doc_id", "n_shingles", "set_id", "signature"],
+                [
+                    pa.array(ids, pa.int64()), pa.array(hashes, pa.int64()), pa.array(sizes, pa.int64()),
+                    pa.array(sets, pa.binary()), pa.array(minima, pa.binary()),
+                ],
+                names=["doc_id", "text_hash", "n_shingles", "set_id", "signature"],
             )
 
-    return docs.mapInArrow(sketch, "doc_id long, n_shingles long, set_id binary, signature binary")
+    return docs.select("doc_id", "text", "text_hash").mapInArrow(
+        sketch, "doc_id long, text_hash long, n_shingles long, set_id binary, signature binary"
+    )
 
 
 def shared(a: bytes, b: bytes) -> int:
@@ -107,7 +113,7 @@ def tree_keys(reps: DataFrame, forest: Forest) -> DataFrame:
     """``tree, prefix, id``: each class once for each order."""
     width = 4 * forest.depth
     slices = F.transform(F.sequence(F.lit(0), F.lit(forest.trees - 1)), lambda t: F.substring("signature", t * width + 1, width))
-    return reps.select(F.col("doc_id").alias("id"), F.posexplode(slices).alias("tree", "prefix")).select("tree", "prefix", "id")
+    return reps.select(F.col("node").alias("id"), F.posexplode(slices).alias("tree", "prefix")).select("tree", "prefix", "id")
 
 
 def candidates(keys: DataFrame, forest: Forest, rows: int) -> DataFrame:
@@ -190,7 +196,7 @@ TILE, LONGER = 512, 1024
 
 
 def longer_signatures(texts: DataFrame) -> DataFrame:
-    """``id, signature`` of ``doc_id, text``: `LONGER` minima of 16 bits each."""
+    """``id, signature`` of ``node, text``: `LONGER` minima of 16 bits each."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in rows_of(batches):
@@ -199,7 +205,7 @@ def longer_signatures(texts: DataFrame) -> DataFrame:
                 [pa.array([i for i, _ in rows], pa.int64()), pa.array(minima, pa.binary())], names=["id", "signature"]
             )
 
-    return texts.select("doc_id", "text").mapInArrow(sketch, "id long, signature binary")
+    return texts.select("node", "text").mapInArrow(sketch, "id long, signature binary")
 
 
 def left_apart(members: DataFrame, joined: DataFrame, texts: DataFrame, least: int) -> DataFrame:
@@ -220,8 +226,8 @@ def left_apart(members: DataFrame, joined: DataFrame, texts: DataFrame, least: i
     placed = placed.join(home, "pivot", "left").withColumn("home", F.coalesce("home", "pivot"))
     mixed = placed.groupBy(*of).agg(F.max(F.col("component") != F.col("home")).alias("mixed")).where("mixed").drop("mixed")
     placed = stored(placed.join(stored(mixed, "mixed"), of), "placed")
-    ids = placed.select(F.col("id").alias("doc_id")).distinct()
-    signed = placed.join(stored(longer_signatures(texts.join(ids, "doc_id", "left_semi")), "longer"), "id")
+    ids = placed.select(F.col("id").alias("node")).distinct()
+    signed = placed.join(stored(longer_signatures(texts.join(ids, "node", "left_semi")), "longer"), "id")
     signed = signed.withColumn("tiles", F.ceil(F.col("n") / TILE).cast("int"))
 
     def packed(df: DataFrame, name: str) -> DataFrame:
@@ -257,8 +263,8 @@ def left_apart(members: DataFrame, joined: DataFrame, texts: DataFrame, least: i
 
 def confirmed(pairs: DataFrame, texts: DataFrame, least: int) -> DataFrame:
     """Pairs of which ``100 * common shingles >= least * all shingles``, on full sets."""
-    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+    left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
+    right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in rows_of(batches, "text_b"):
@@ -279,7 +285,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, least: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, least: int = 85, forest: Forest = Forest()) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` of every row of ``docs``.
+    """``doc_id, text_hash, n_shingles, component_id, kept, leads`` of every row of ``docs``.
 
     A document's set holds its runs of five words, A-Z in lower case; two are
     linked if they share ``least`` hundredths of all their shingles or more.
@@ -288,27 +294,35 @@ def near_duplicates(docs: DataFrame, least: int = 85, forest: Forest = Forest())
     confirmed on the full sets of its texts. ``component_id`` is the least id
     reached by links; the document of that id is kept.
 
-    Null, empty and wordless texts have no shingles and are alone. Rows that
-    repeat an id are told apart by nothing else: all of them carry the id's
-    component. A row without an id is in the class of its set and kept only if
-    no row with an id is. An empty table gives none.
+    Null, empty and wordless texts have no shingles and are alone. Rows are told
+    apart by id and text (``text_hash``), so each text of a repeated id has its
+    own links. A row without an id takes part as all others; it is kept only if
+    its component holds no row with an id, and then ``component_id`` is null.
+    ``leads`` marks one text of each component, that of the least id (ties: the
+    least ``text_hash``): also one of several texts of an id, and of texts
+    without one. Only rows equal in id and text lead together. An empty table
+    gives no rows.
     """
-    texts = texts_of(docs)
+    texts = texts_of(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID))).withColumn("text_hash", F.xxhash64("text"))
+    no_id = F.col("doc_id") == NO_ID
     sketched = stored(sketches(texts, forest), "sketches")
     reps = (
         sketched.where("set_id is not null").groupBy("set_id")
-        .agg(F.min("doc_id").alias("doc_id"), F.first("signature").alias("signature"))
-        .where("doc_id is not null")
+        .agg(F.min(F.struct(no_id.alias("no_id"), "doc_id", "text_hash")).alias("first"), F.first("signature").alias("signature"))
     )
-    reps = stored(reps, "classes")
+    # Ids may repeat with other texts, so classes are numbered.
+    reps = stored(reps.withColumn("node", F.monotonically_increasing_id()), "classes")
     keys = tree_keys(reps, forest)
     pairs = stored(candidates(keys, forest, sketched.count()), "candidates")
     members = stored(crowds(keys, forest), "crowds")
     with_pivot = members.where("id <> pivot").select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b"))
     asked = pairs.unionByName(with_pivot.distinct().withColumn("order", F.lit(0)))
-    ids = stored(asked.select(F.col("a").alias("doc_id")).union(asked.select("b")).distinct(), "ids")
+    nodes = asked.select(F.col("a").alias("node")).union(asked.select("b")).distinct()
+    ids = reps.join(nodes, "node", "left_semi").select("first.doc_id", "first.text_hash", "node")
+    ids = stored(ids, "ids")
     few, _ = split_by(texts, ids)
-    wanted = stored(few.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
+    wanted = few.join(ids, ["doc_id", "text_hash"]).dropDuplicates(["node"])
+    wanted = stored(wanted.select("node", "text"), "texts")
 
     def joined_by(links: DataFrame) -> DataFrame:
         return stored(components(links), "components")
@@ -329,10 +343,15 @@ def near_duplicates(docs: DataFrame, least: int = 85, forest: Forest = Forest())
     rest = stored(left_apart(members, joined, wanted, least), "rest").join(asked.select("a", "b"), ["a", "b"], "left_anti")
     third = stored(confirmed(rest, wanted, least), "links")
     joined = joined_by(links.unionByName(third))
-    class_of = (
-        reps.select("set_id", F.col("doc_id").alias("node")).join(joined, "node", "left")
-        .select("set_id", F.coalesce("component", "node").alias("component_id"))
-    )
+    placed = reps.select("set_id", "node", "first").join(joined, "node", "left")
+    placed = placed.withColumn("component", F.coalesce("component", "node"))
+    leaders = placed.groupBy("component").agg(F.min("first").alias("leader"))
+    class_of = stored(placed.join(leaders, "component").select("set_id", "leader"), "leaders")
     found = sketched.drop("signature").join(class_of, "set_id", "left")
-    component = F.coalesce("component_id", "doc_id")
-    return found.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"))
+    own, least_id = F.nullif("doc_id", F.lit(NO_ID)), F.nullif("leader.doc_id", F.lit(NO_ID))
+    component = F.when(F.col("leader").isNull(), own).otherwise(least_id)
+    leads = (F.col("doc_id") == F.col("leader.doc_id")) & (F.col("text_hash") == F.col("leader.text_hash"))
+    return found.select(
+        own.alias("doc_id"), "text_hash", "n_shingles", component.alias("component_id"),
+        F.coalesce(own == component, component.isNull()).alias("kept"), F.coalesce(leads, F.lit(True)).alias("leads"),
+    )

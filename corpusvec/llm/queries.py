@@ -99,7 +99,7 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"), least=85)
+    return near_duplicates(table(spark, sf_dir, "documents"), least=85).drop("text_hash", "leads")
 
 
 @query
