@@ -1,11 +1,12 @@
 """Nulls, empty and long texts, repeated rows, empty tables and clashing names."""
 
+import corpus_pipeline
 import pytest
 from pyspark.sql import functions as F
 
 from corpusvec.llm.decontamination import find_contamination, with_contamination
 from corpusvec.llm.html_text import extract_text
-from corpusvec.llm.language import identify_language, with_language
+from corpusvec.llm.language import identify_language, labelled_samples, with_language
 from corpusvec.llm.lattice import score_texts
 from corpusvec.llm.minhash import near_duplicates
 from corpusvec.llm.packing import pack_documents
@@ -119,3 +120,85 @@ def test_odd_pages(spark):
     got = sorted((r.page_id, r.text, r.n_chars) for r in extract_text(df).collect())
     assert got == [(1, "Text & more", 11)] * 2 + [(2, "Text & more", 11), (3, "", 0), (4, "", 0), (5, "x", 1)]
     assert extract_text(df.limit(0)).count() == 0
+
+
+TEXT = "the quick brown fox jumps over the lazy dog near a quiet river bank while seven small birds sing in old trees today"
+
+
+def near_to(text, n):
+    """The text with one word more, told apart by ``n``."""
+    return f"{text} again{n}"
+
+
+def test_texts_of_one_id_have_their_own_links(spark):
+    a, b = TEXT, " ".join(reversed(TEXT.split()))
+    for rows in ([(1, a), (1, b)], [(1, b), (1, a)]):
+        df = spark.createDataFrame([*rows, (2, near_to(a, 2)), (3, near_to(b, 3))], "doc_id long, text string")
+        found = near_duplicates(df).collect()
+        assert {(r.doc_id, r.component_id) for r in found} == {(1, 1), (2, 1), (3, 1)}
+        assert sum(r.leads for r in found) == 2
+
+
+def test_texts_without_id_are_linked(spark):
+    df = spark.createDataFrame([(None, TEXT), (None, near_to(TEXT, 1)), (None, ""), (None, None)], "doc_id long, text string")
+    found = near_duplicates(df).collect()
+    assert [r.component_id for r in found] == [None] * 4
+    assert sorted((r.n_shingles > 0, r.leads) for r in found) == [(False, True), (False, True), (True, False), (True, True)]
+
+
+def test_sample_windows_lie_all_over_the_text(spark):
+    text = "".join(chr(0x4E00 + i) for i in range(8000))
+    df = spark.createDataFrame([(i, text, "x") for i in range(20)] + [(7, text, "x")] * 50, "doc_id long, text string, lang string")
+    sample = labelled_samples(df, rows=8, chars=8 * 40)
+    parts = [part for part in sample["x"].split("\n") if part]
+    assert len(parts) == 8 * 4 and all(len(p) == 10 and p in text for p in parts)
+    quarters = [text.index(p) // 2000 for p in parts]
+    assert quarters == [0, 1, 2, 3] * 8
+    assert labelled_samples(df.limit(0), 8, 320) == {}
+
+
+def test_texts_in_no_known_language(spark):
+    rows = [(i, TEXT + " and so on", "en") for i in range(4)] + [(9, "\u4f60\u597d\u4e16\u754c", None), (10, "1 2 3", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = {r.doc_id: r.lang_pred for r in with_language(df, df, least_phrase=1.5).collect()}
+    assert found == {0: "en", 1: "en", 2: "en", 3: "en", 9: "und", 10: "und"}
+    assert {r.doc_id: r.lang_pred for r in with_language(df, df).collect()}[9] == "en"
+
+
+def test_equal_rows_change_no_terms(spark):
+    rows = [(1, "Li writes to li7@corp.com on Monday"), (2, "ask Li or li7@corp.com on Sunday")]
+    rows += [(i, f"we meet on Monday or Sunday to writes ask {i}") for i in range(3, 40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+
+    def terms(df):
+        return {(r.doc_id, tuple(t.value for t in r.terms)) for r in find_personal_data(df).collect()}
+
+    assert terms(df) == terms(df.union(df)) == terms(df.union(df.where("doc_id = 1")))
+    assert {(1, ("li",)), (2, ("li",))} <= terms(df)
+
+
+def test_names_of_inner_columns_pass_through(spark):
+    names = ["_place", "_bucket", "_bits", "_byte", "_id", "_hash", "_spans", "_leads"]
+    df = spark.createDataFrame([(1, "mail a@b.cd now", *range(8)), (2, None, *range(8))], "doc_id long, text string, " + ", ".join(f"{n} int" for n in names))
+    found = sorted(sanitise(df).collect())
+    assert [tuple(r)[2:] for r in found] == [tuple(range(8))] * 2
+    assert [r.text for r in found] == ["mail <EMAIL> now", None]
+    near = corpus_pipeline.near_dedup(spark, df.union(df), "")
+    assert near.columns == df.columns and sorted(r.doc_id for r in near.collect()) == [1, 2, 2]
+
+
+def test_copies_of_an_id_or_without_one(spark):
+    rows = [(1, TEXT)] * 3 + [(None, near_to(TEXT, 9))] * 2 + [(5, "other words that are like no text here")] + [(None, "a b c d e f g")] * 2 + [(7, "")] * 2
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = corpus_pipeline.near_dedup(spark, df, "").collect()
+    assert sorted((r.doc_id or 0, r.text) for r in found) == sorted(
+        [(1, TEXT), (5, rows[5][1]), (0, "a b c d e f g"), (7, ""), (7, "")]
+    )
+
+
+@pytest.mark.parametrize("stage", ["language", "near_dedup", "pii"])
+def test_stages_on_rows_of_any_kind(spark, docs, stage):
+    run = dict(corpus_pipeline.STAGES)[stage]
+    assert run(spark, docs, "").columns == docs.columns
+    run(spark, docs, "").collect()
+    assert run(spark, docs.limit(0), "").count() == 0
