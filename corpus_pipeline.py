@@ -7,10 +7,12 @@ last return the columns of ``documents``.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusvec.llm.common import fold, stored
+from corpusvec.llm.common import NO_ID, fold, stored, unused
 from corpusvec.llm.decontamination import with_contamination
 from corpusvec.llm.language import UNKNOWN, with_language
 from corpusvec.llm.membership import split_by
@@ -24,21 +26,39 @@ def same_columns(df: DataFrame, docs: DataFrame) -> DataFrame:
     return df.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
+#: Phrases of a text in no known language are letters that stand alone: fewer
+#: letters and spaces a phrase than this.
+LEAST_PHRASE = 1.5
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in no language go: null texts and those without a letter."""
+    """Documents in none of the labelled languages go.
+
+    So do null texts, those without a letter, and all where nothing is labelled.
+    """
     prepare(spark)
-    found = with_language(docs, docs.where(fold(F.col("doc_id"), 5) != 0))
-    letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    return same_columns(found.where((F.col("lang_pred") != UNKNOWN) | letters), docs)
+    found = with_language(docs, docs.where(fold(F.col("doc_id"), 5) != 0), least_phrase=LEAST_PHRASE)
+    return same_columns(found.where(F.col("lang_pred") != UNKNOWN), docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by a similarity of 0.8 or more the one of least id stays."""
+    """Of documents linked by a similarity of 0.8 or more the one of least id stays.
+
+    Of rows equal in id and text one stays, also where the id is null. Texts
+    without a word are like nothing and all stay.
+    """
     prepare(spark)
-    gone = near_duplicates(docs, least=80).where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    gone = stored(gone, "near-copies")
-    few, others = split_by(docs, gone)
-    return same_columns(few.join(gone, "doc_id", "left_anti"), docs).unionByName(same_columns(others, docs))
+    found = near_duplicates(docs, least=80).where("n_shingles > 0")
+    key, text_hash, leads = (unused(n, docs.columns) for n in ("_id", "_hash", "_leads"))
+    touched = found.groupBy(F.coalesce("doc_id", F.lit(NO_ID)).alias(key), F.col("text_hash").alias(text_hash))
+    touched = touched.agg(F.every("leads").alias(leads), F.count("*").alias("n")).where(F.expr(f"not {leads} or n > 1"))
+    touched = stored(touched.drop("n"), "near-copies")
+    keyed = docs.withColumn(key, F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)))
+    few, others = split_by(keyed, touched.select(key), key)
+    few = few.withColumn(text_hash, F.xxhash64(F.coalesce("text", F.lit("")))).join(touched, [key, text_hash], "left")
+    once = few.where(leads).dropDuplicates([key, text_hash])
+    parts = (few.where(F.col(leads).isNull()), once, others)
+    return reduce(DataFrame.unionByName, (same_columns(part, docs) for part in parts))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
