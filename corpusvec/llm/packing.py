@@ -6,6 +6,7 @@ import math
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusvec.llm import tokens
-from corpusvec.llm.common import rows_of, texts_of
+from corpusvec.llm.common import slices_of, texts_of
 from corpusvec.session import materialize
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -28,10 +29,11 @@ def encoded_pieces(docs: DataFrame, tokenizer_path: str, size: int) -> DataFrame
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = tokens.memo(tokenizer_path)
-        for rows in rows_of(batches, limit=1 << 21):
+        for rows in slices_of(batches):
             out = []
-            for (doc_id, _), ids in zip(rows, memo.ids([text for _, text in rows]), strict=True):
-                ids += b"\0\0\0\0"
+            every, before = memo.ids(rows.column("text"))
+            for doc_id, (first, last) in zip(rows.column("doc_id").to_pylist(), pairwise(before.tolist()), strict=True):
+                ids = every[first:last].tobytes() + b"\0\0\0\0"
                 for piece, at in enumerate(range(0, len(ids), 4 * size)):
                     part = ids[at : at + 4 * size]
                     out.append((doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part)))

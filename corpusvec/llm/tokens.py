@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import os
-import re
 from itertools import pairwise
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from corpusvec.llm.common import held
 
-#: Words, and parts of words, whose ids a Python worker keeps before it starts
-#: anew. A word of known parts is cheap, so it is the parts that are kept long.
+#: Odd words, and parts of words, whose ids a Python worker keeps before it
+#: starts anew.
 MEMO, PARTS = 1 << 17, 1 << 19
 
 
@@ -24,6 +25,12 @@ def spaced(text: str) -> list[str]:
     return text.replace("\n", " ").split(" ")
 
 
+def spaced_words(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """The pieces of all texts as by `spaced`, and how many come before each text and after the last."""
+    split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+    return split.flatten().dictionary_encode(), split.offsets.to_numpy() - split.offsets[0].as_py()
+
+
 def load(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
@@ -46,14 +53,35 @@ def plain_tokenizer(path: str):
 
 #: Letters that lower case and normal form leave as one, then punctuation: two
 #: pre-tokens. Apostrophes are left out, since they can start a pre-token.
-SIMPLE = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*)([!-&(-/:-@\[-`{-~]*)")
+SIMPLE = r"^(?P<letters>[A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{ff}]*)(?P<marks>[!-&(-/:-@\[-`{-~]*)$"
+
+
+def strings(column: pa.Array) -> tuple[np.ndarray, list[str]]:
+    """The number of each string among the distinct ones, and these."""
+    coded = column.dictionary_encode()
+    return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary.to_pylist()
+
+
+class Runs:
+    """Id sequences end to end: where each starts, and how many ids it has."""
+
+    def __init__(self, each: list[bytes]) -> None:
+        self.sizes = np.fromiter(map(len, each), dtype=np.int64, count=len(each)) // 4
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.ids = np.frombuffer(b"".join(each), dtype="<u4")
+
+
+def gathered(ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """``ids[start : start + size]`` of all pairs, end to end."""
+    before = np.cumsum(sizes) - sizes
+    return ids[np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))]
 
 
 class Memo:
-    """Ids of words as little-endian unsigned 32-bit numbers, computed once a worker.
+    """Ids of the parts of words as little-endian unsigned 32-bit numbers, computed once a worker.
 
     The tokenizer's own splitting is its dearest part. A word of plain letters
-    and closing punctuation is split here, and only its parts are looked up;
+    and closing punctuation is split by Arrow, and only its parts are looked up;
     any other word goes through the whole tokenizer.
     """
 
@@ -66,41 +94,50 @@ class Memo:
         self.words: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
-    def learn_parts(self, parts: set[str]) -> None:
-        new = sorted(parts.difference(self.parts))
-        for start in range(0, len(new), 512):
-            some = new[start : start + 512]
-            ids = np.array(self.plain.encode(" ".join(some), add_special_tokens=False).ids, dtype="<u4")
+    def ids_of_parts(self, parts: list[str]) -> list[bytes]:
+        if len(self.parts) > PARTS:
+            self.parts.clear()
+        known = self.parts
+        known[""] = b""
+        new = [p for p in parts if p not in known]
+        for start in range(0, len(new), 4096):
+            some = new[start : start + 4096]
+            ids = np.array(self.plain.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, dtype="<u4")
             # The last token of each part says that it is the last.
             cuts = [0, *(4 * (np.nonzero(self.ends[ids])[0] + 1)).tolist()]
             raw = ids.tobytes()
-            self.parts.update(zip(some, (raw[i:j] for i, j in pairwise(cuts)), strict=True))
+            known.update(zip(some, (raw[i:j] for i, j in pairwise(cuts)), strict=True))
+        return [known[p] for p in parts]
 
-    def learn(self, words: set[str]) -> None:
-        """Make sure that all of ``words`` are known."""
+    def ids_of_words(self, words: list[str]) -> list[bytes]:
         if len(self.words) > MEMO:
             self.words.clear()
-        if len(self.parts) > PARTS:
-            self.parts.clear()
-            self.parts[""] = b""
-        new = words.difference(self.words)
-        found = [(w, m[1].lower(), m[2]) for w in new if (m := SIMPLE.fullmatch(w))]
-        self.learn_parts({p for _, *both in found for p in both} - {""})
-        self.parts[""] = b""
-        parts = self.parts
-        self.words.update((w, parts[a] + parts[b]) for w, a, b in found)
-        if len(found) < len(new):
-            others = sorted(new.difference(self.words))
-            for start in range(0, len(others), 4096):
-                some = others[start : start + 4096]
-                coded = self.whole.encode_batch(some, add_special_tokens=False)
-                self.words.update((w, np.array(c.ids, dtype="<u4").tobytes()) for w, c in zip(some, coded, strict=True))
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        split = [spaced(t) for t in texts]
-        self.learn(set().union(*split))
-        get = self.words.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+        known = self.words
+        new = [w for w in words if w not in known]
+        for start in range(0, len(new), 4096):
+            some = new[start : start + 4096]
+            coded = self.whole.encode_batch_fast(some, add_special_tokens=False)
+            known.update((w, np.array(c.ids, dtype="<u4").tobytes()) for w, c in zip(some, coded, strict=True))
+        return [known[w] for w in words]
+
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts end to end, and the number of ids before each text and after the last."""
+        words, ends = spaced_words(texts)
+        word, distinct = words.indices.to_numpy(zero_copy_only=False), words.dictionary
+        split = pc.extract_regex(distinct, SIMPLE)
+        odd = np.nonzero(split.is_null().to_numpy(zero_copy_only=False))[0]
+        letters, own_letters = strings(pc.utf8_lower(pc.struct_field(split, "letters").fill_null("")))
+        marks, own_marks = strings(pc.struct_field(split, "marks").fill_null(""))
+        letters[odd] = len(own_letters) + len(own_marks) + np.arange(len(odd))
+        marks += len(own_letters)
+        runs = Runs(
+            self.ids_of_parts(own_letters) + self.ids_of_parts(own_marks) + self.ids_of_words(distinct.take(pa.array(odd)).to_pylist())
+        )
+        # Each word is its letters, then its marks; an odd word has no marks.
+        parts = np.stack((letters[word], marks[word]), axis=1)
+        sizes = runs.sizes[parts]
+        before = np.concatenate(([0], np.cumsum(sizes.sum(axis=1))))
+        return gathered(runs.ids, runs.starts[parts].ravel(), sizes.ravel()), before[ends]
 
 
 def memo(path: str) -> Memo:
