@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import pairwise
@@ -20,8 +21,11 @@ from corpusvec.session import materialize
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 #: Rows a window task should hold of one length.
 BUCKET_ROWS = 1 << 14
-#: Times the program is solved on what the last rounding left, and pricings each time.
-PHASES, ROUNDS, STEP = 4, 100, 0.5
+#: Groups of lengths in a program, and how often it is solved on what the last rounding left.
+GROUPS, PHASES = 64, 4
+#: How near the fractional cover comes to the least one, the rate at which
+#: weights fall, and the most rounds, which ends a program that converges badly.
+GAP, STEP, ROUNDS = 0.02, 0.2, 20_000
 
 
 def encoded_pieces(docs: DataFrame, tokenizer_path: str, size: int) -> DataFrame:
@@ -48,86 +52,165 @@ def encoded_pieces(docs: DataFrame, tokenizer_path: str, size: int) -> DataFrame
 
 
 def best_configuration(worth: np.ndarray, lengths: np.ndarray, size: int) -> dict[int, int]:
-    """Knapsack: the multiset of lengths within ``size`` of the greatest worth."""
-    best = np.zeros(size + 1)
-    choice = np.full(size + 1, -1)
-    usable = np.searchsorted(lengths, np.arange(size + 1), side="right")
-    for room in range(1, size + 1):
-        k = usable[room]
-        best[room], choice[room] = best[room - 1], -1
-        if k:
-            value = worth[:k] + best[room - lengths[:k]]
-            at = int(value.argmax())
-            if value[at] > best[room]:
-                best[room], choice[room] = value[at], at
+    """Knapsack: the multiset of lengths within ``size`` of the greatest worth.
+
+    ``best[room]`` grows by one length after the other. Rooms that differ by
+    multiples of a length are a column; taking the length ``k`` times goes ``k``
+    rows up in it, so the best number of times is a running maximum.
+    """
+    best, last = np.zeros(size + 1), np.full(size + 1, -1)
+    for at, (length, value) in enumerate(zip(lengths.tolist(), worth.tolist(), strict=True)):
+        rows = -(-(size + 1) // length)
+        column = np.full(rows * length, -np.inf)
+        column[: size + 1] = best
+        taken = value * np.arange(rows)[:, None]
+        with_it = (np.maximum.accumulate(column.reshape(rows, length) - taken) + taken).ravel()[: size + 1]
+        better = with_it > best + 1e-12
+        last[better] = at
+        best = np.where(better, with_it, best)
     found: dict[int, int] = {}
     room = size
-    while room > 0:
-        at = choice[room]
-        if at < 0:
-            room -= 1
-        else:
-            length = int(lengths[at])
-            found[length] = found.get(length, 0) + 1
-            room -= length
+    while last[room] >= 0:
+        length = int(lengths[last[room]])
+        found[length] = found.get(length, 0) + 1
+        room -= length
     return found
 
 
-def fractional(need: dict[int, int], size: int) -> list[tuple[dict[int, int], float]]:
+@dataclass
+class Cover:
+    """Configurations (a row each, a column a length), how often each is used, and the least any cover needs."""
+
+    configurations: np.ndarray
+    amounts: np.ndarray
+    bound: float
+
+
+def fractional(need: dict[int, int], size: int, gap: float = GAP) -> Cover:
     """A fractional cover of ``need`` by configurations, by multiplicative weights.
 
-    A length starts with its share of a sequence as worth and loses worth each
-    time a configuration covers it; the configuration of each round is the
-    best answer to the present worths.
+    A length starts with its share of a sequence as weight and loses weight by
+    the part of its need that a round covers. A round uses the configuration of
+    the greatest weight found so far, as often as the rarest of its lengths
+    needs; once that is worth less than ``1 / (1 + STEP)`` of the greatest worth
+    known, knapsack pricing finds the best one of all. Weights over the
+    greatest worth are a dual solution, so each pricing gives a lower bound;
+    rounds end when the cover is within ``gap`` of the greatest.
     """
     lengths = np.array(sorted(need))
-    wanted = np.array([need[n] for n in lengths], dtype=float)
+    wanted = np.array([need[n] for n in lengths.tolist()], dtype=float)
     place = {int(n): i for i, n in enumerate(lengths)}
-    worth, covered = lengths / size, np.zeros(len(lengths))
-    chosen: list[tuple[dict[int, int], float]] = []
+    logs, covered = np.log(lengths / size), np.zeros(len(lengths))
+    known, amounts = np.zeros((0, len(lengths))), np.zeros(0)
+    seen: dict[tuple, int] = {}
+    bound, greatest = 0.0, math.inf
     for _ in range(ROUNDS):
-        config = best_configuration(worth, lengths, size)
-        if not config:
-            break
-        at = np.array([place[n] for n in config])
-        times = np.array(list(config.values()), dtype=float)
-        amount = STEP * float((wanted[at] / times).min())
-        gain = amount * times / wanted[at]
-        covered[at] += gain
-        worth[at] *= np.exp(-STEP * gain)
-        chosen.append((config, amount))
-    most = max(1.0, covered.max(initial=1.0))
-    return [(config, amount / most) for config, amount in chosen]
+        worth = np.exp(logs)
+        values = known @ worth
+        at = int(values.argmax()) if len(values) else -1
+        if at < 0 or values[at] * (1 + STEP) < greatest:
+            row = np.zeros(len(lengths))
+            for length, times in best_configuration(worth, lengths, size).items():
+                row[place[length]] = times
+            greatest = float(row @ worth)
+            bound = max(bound, float(worth @ wanted) / greatest)
+            if covered.min() > 0 and amounts.sum() / covered.min() <= (1 + gap) * bound:
+                break
+            if tuple(row) not in seen:
+                seen[tuple(row)] = len(known)
+                known, amounts = np.vstack([known, row]), np.append(amounts, 0.0)
+            at = seen[tuple(row)]
+        used = known[at] > 0
+        amount = float((wanted[used] / known[at][used]).min())
+        amounts[at] += amount
+        gain = amount * known[at] / wanted
+        covered += gain
+        logs -= STEP * gain
+        # Only ratios of weights count; this keeps them far from 0.
+        most = logs.max()
+        logs -= most
+        greatest *= math.exp(-most)
+    return Cover(known, amounts / covered.min() if covered.min() > 0 else amounts, bound)
 
 
 @dataclass
 class Bins:
-    """So many sequences alike: their lengths in order and the room left."""
+    """So many sequences alike: their lengths in order, the room left, and how many lengths the program placed."""
 
     lengths: list[int]
     count: int
     room: int
+    planned: int = 0
 
 
-def pack(histogram: dict[int, int], size: int) -> list[Bins]:
-    """Sequences for a histogram of lengths; all its work is on lengths, not documents."""
-    need = {n: k for n, k in histogram.items() if k and n < size}
-    packed = [Bins([size], histogram[size], 0)] if histogram.get(size) else []
+def grouped(need: dict[int, int]) -> list[tuple[int, int]]:
+    """Ranges of neighbouring lengths with about equal shares of the ids, at most `GROUPS`."""
+    lengths = sorted(need)
+    upto = np.cumsum([n * need[n] for n in lengths])
+    group = np.minimum((upto - 1) * GROUPS // upto[-1], GROUPS - 1)
+    first = np.nonzero(np.diff(group, prepend=-1))[0]
+    last = np.append(first[1:], len(lengths)) - 1
+    return [(lengths[a], lengths[b]) for a, b in zip(first.tolist(), last.tolist(), strict=True)]
+
+
+def planned_bins(need: dict[int, int], size: int) -> list[Bins]:
+    """Sequences after the configurations of one fractional cover of groups of lengths.
+
+    A group stands in the program with its greatest length. Amounts are rounded
+    by their running sum. A configuration takes the longest pieces left of its
+    groups, but for its last and shortest place the longest that still fits,
+    at least the least of that group; where a group is used up it ends.
+    """
+    have = np.zeros(size + 1, dtype=np.int64)
+    have[list(need)] = list(need.values())
+    groups = grouped(need)
+    cover = fractional({high: int(have[low : high + 1].sum()) for low, high in groups}, size)
+    packed, carry = [], 0.0
+    for at in np.argsort(-cover.amounts, kind="stable"):
+        places = [groups[g] for g in np.nonzero(cover.configurations[at])[0][::-1] for _ in range(int(cover.configurations[at][g]))]
+        carry += float(cover.amounts[at])
+        times = int(carry + 1e-9)
+        carry -= times
+        while times:
+            items: list[int] = []
+            for k, (low, high) in enumerate(places):
+                room = size - sum(items)
+                left = have[low : (room if k + 1 == len(places) else high) + 1].copy()
+                for n in items:
+                    if 0 <= n - low < len(left):
+                        left[n - low] -= 1
+                fits = np.nonzero(left > 0)[0]
+                if not len(fits):
+                    break
+                items.append(low + int(fits[-1]))
+            if len(items) < len(places):
+                break
+            each = Counter(items)
+            count = min(times, *(int(have[n]) // k for n, k in each.items()))
+            for n, k in each.items():
+                have[n] -= count * k
+            packed.append(Bins(items, count, size - sum(items), len(items)))
+            times -= count
+    return packed
+
+
+def by_program(histogram: dict[int, int], size: int, waste: int) -> tuple[list[Bins], dict[int, int]]:
+    """Sequences that the program fills up to ``waste``, solved anew on what each rounding left, and the rest."""
+    need, packed = {n: k for n, k in histogram.items() if k and n < size}, []
     for _ in range(PHASES):
-        placed = False
-        for config, amount in fractional(need, size) if need else ():
-            # Rounded down, and never more than there are.
-            times = min(int(amount), *(need.get(n, 0) // k for n, k in config.items()))
-            if times:
-                items = [n for n, k in config.items() for _ in range(k)]
-                packed.append(Bins(items, times, size - sum(items)))
-                for n, k in config.items():
-                    need[n] -= times * k
-                placed = True
-        need = {n: k for n, k in need.items() if k}
-        if not placed:
+        tight = [bins for bins in planned_bins(need, size) if bins.room <= waste] if need else []
+        if not tight:
             break
-    # What rounding left, longest first, each into the fullest sequences with room.
+        packed += tight
+        for bins in tight:
+            for n in bins.lengths:
+                need[n] -= bins.count
+        need = {n: k for n, k in need.items() if k}
+    return packed, need
+
+
+def best_fit(packed: list[Bins], need: dict[int, int], size: int) -> list[Bins]:
+    """What the program left, longest first, each into the fullest sequences with room."""
     open_by_room: dict[int, list[Bins]] = {}
     for bins in packed:
         open_by_room.setdefault(bins.room, []).append(bins)
@@ -143,31 +226,43 @@ def pack(histogram: dict[int, int], size: int) -> list[Bins]:
                 bins = open_by_room[room].pop()
                 used = min(bins.count, left)
                 if used < bins.count:
-                    open_by_room[room].append(Bins(list(bins.lengths), bins.count - used, room))
-                bins = Bins([*bins.lengths, length], used, room - length)
+                    open_by_room[room].append(Bins(list(bins.lengths), bins.count - used, room, bins.planned))
+                bins = Bins([*bins.lengths, length], used, room - length, bins.planned)
                 left -= used
             open_by_room.setdefault(bins.room, []).append(bins)
     return [bins for group in open_by_room.values() for bins in group]
 
 
+def pack(histogram: dict[int, int], size: int) -> list[Bins]:
+    """Sequences for a histogram of lengths; all its work is on lengths, not documents.
+
+    Of the plans for several wastes the one of fewest sequences, then of most
+    pieces placed by the program.
+    """
+    plans = [best_fit(*by_program(histogram, size, waste), size) for waste in sorted({0, size // 512, size // 16})]
+    least = min(plans, key=lambda plan: (sum(b.count for b in plan), -sum(b.count * b.planned for b in plan)))
+    return least + ([Bins([size], histogram[size], 0)] if histogram.get(size) else [])
+
+
 def plan_of(packed: list[Bins]) -> tuple[np.ndarray, ...]:
     """For each length, which sequence and place its pieces take, by rank.
 
-    Sorted arrays: ``length << 40 | first rank``, first sequence, offset.
+    Sorted arrays: ``length << 40 | first rank``, first sequence, offset, and
+    whether the program placed it.
     """
     rank: dict[int, int] = {}
     rows, sequence = [], 0
     for bins in packed:
         offset = 0
-        for length in bins.lengths:
+        for k, length in enumerate(bins.lengths):
             first = rank.get(length, 0)
-            rows.append((length << 40 | first, sequence, offset))
+            rows.append((length << 40 | first, sequence, offset, k < bins.planned))
             rank[length] = first + bins.count
             offset += length
         sequence += bins.count
     rows.sort()
-    keys, sequences, offsets = zip(*rows, strict=True) if rows else ((), (), ())
-    return tuple(np.array(c, dtype=np.int64) for c in (keys, sequences, offsets))
+    columns = zip(*rows, strict=True) if rows else ((), (), (), ())
+    return tuple(np.array(c, dtype=np.int64) for c in columns)
 
 
 def with_rank(pieces: DataFrame, rows: int) -> DataFrame:
@@ -195,8 +290,9 @@ def with_rank(pieces: DataFrame, rows: int) -> DataFrame:
 def pack_documents(docs: DataFrame, tokenizer_path: str, size: int = 2048) -> DataFrame:
     """Pack every document's ids into sequences of at most ``size`` ids.
 
-    Returns ``doc_id, piece, start, length, ids_crc32, sequence_id, offset``,
-    a row per piece. Only documents longer than a sequence are cut. The
+    Returns ``doc_id, piece, start, length, ids_crc32, sequence_id, offset,
+    by_program``, a row per piece; the last tells pieces that the configuration
+    program placed from those that best fit did and from whole sequences. Only documents longer than a sequence are cut. The
     configuration program works on the histogram of lengths, which has at most
     ``size`` rows; the plan it gives is sent to the tasks. A null or empty text
     is the single id 0; rows with equal ids are packed each; an empty table
@@ -207,7 +303,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, size: int = 2048) -> Da
     plan = docs.sparkSession.sparkContext.broadcast(plan_of(pack(histogram, size)))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, sequences, offsets = plan.value
+        keys, sequences, offsets, planned = plan.value
         for batch in batches:
             rank = batch.column("rank").to_numpy(zero_copy_only=False)
             length = batch.column("length").to_numpy(zero_copy_only=False)
@@ -216,7 +312,8 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, size: int = 2048) -> Da
             columns = {name: batch.column(name) for name in ("doc_id", "piece", "start", "length", "ids_crc32")}
             columns["sequence_id"] = pa.array(sequences[at] + (wanted - keys[at]), pa.int64())
             columns["offset"] = pa.array(offsets[at], pa.int64())
+            columns["by_program"] = pa.array(planned[at] > 0)
             yield pa.RecordBatch.from_pydict(columns)
 
     ranked = with_rank(pieces, max(1, sum(histogram.values())))
-    return ranked.mapInArrow(place, f"{PIECES}, sequence_id long, offset long")
+    return ranked.mapInArrow(place, f"{PIECES}, sequence_id long, offset long, by_program boolean")
