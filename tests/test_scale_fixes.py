@@ -1,14 +1,17 @@
 """What keeps queries in proportion to their input: no work done twice, no task for each small file."""
 
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from corpusvec import session
 from corpusvec.operators import positions, training, windows
 from corpusvec.operators.subwords import vocabulary_from
 from corpusvec.plans import jobs
+from corpusvec.plans.queries import QUERIES
 from corpusvec.sinks import write_packed_shards
 from corpusvec.sources import packed_shards, positioned_words_from_lines, token_rows
 
@@ -30,6 +33,32 @@ def test_lines_are_parsed_once(spark):
     assert len(re.findall(r"contains", plan(parsed), re.I)) <= 2
 
 
+def test_position_lines_come_in_tasks_of_bounded_text(spark, tmp_path, monkeypatch):
+    docs = [(k % 40 if k % 7 else None, None if k % 9 == 0 else "a b c d_e  c b " * (k % 5) + f"w{k}") for k in range(60)]
+    spark.createDataFrame(docs, "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    good, bad = Counter(), Counter()
+    for doc_id, text in docs:
+        for j, word in enumerate((text or "").split()):
+            if j % 4 == 0:
+                bad[f"_{word}"] += 1
+            elif doc_id is None:
+                bad[None] += 1
+            elif j % 4 == 1:
+                bad[f"x{doc_id}_{word}"] += 1
+            else:
+                good[doc_id, word if j % 4 == 2 else f"a_{word}"] += 1
+    monkeypatch.setattr(session, "TASK_TEXT", 64)
+    parsed = QUERIES["parse_positions"](spark, str(tmp_path))
+    assert sorted(tuple(r) for r in parsed.collect()) == sorted((*k, n) for k, n in good.items())
+    # Neither side of a shuffle has more tasks than the text asks for, nor fewer.
+    size = sum(len(t) for _, t in docs if t)
+    counts = re.findall(r"RepartitionByExpression \[.*?\], (\d+)", plan(parsed))
+    assert counts == [str(-(-size // 64))] * 2 and int(counts[0]) > 16
+    rejected = QUERIES["reject_positions"](spark, str(tmp_path))
+    assert {r["value"]: r["n"] for r in rejected.collect()} == bad
+    assert len(re.findall("RepartitionByExpression", plan(rejected))) == 1
+
+
 def test_strict_rows_fail(spark):
     with pytest.raises(Exception, match="row does not parse: x"):
         positioned_words_from_lines(spark.createDataFrame([("x",)], "value string"), strict=True).collect()
