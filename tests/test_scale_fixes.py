@@ -4,11 +4,12 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from corpusvec import session
-from corpusvec.operators import positions, training, windows
+from corpusvec.operators import positions, subwords, training, windows
 from corpusvec.operators.subwords import vocabulary_from
 from corpusvec.plans import jobs
 from corpusvec.plans.queries import QUERIES
@@ -84,6 +85,23 @@ def test_words_are_encoded_once(spark):
     assert sorted(tuple(r) for r in tokens.collect()) == [(0, 0, "ab", [256]), (2, 1, "b", [98])]
 
 
+def test_an_encoder_remembers_bounded_bytes(monkeypatch):
+    ranks = {bytes([b]): b for b in range(256)} | {b"ab": 256}
+    words = [f"ab{k}" for k in range(300)] + ["ab" * 5000, "", "é", "ab7", "ab7"]
+    want = [subwords._merge_piece(w.encode(), ranks) for w in words]
+    monkeypatch.setattr(subwords, "MEMO_BYTES", 20_000)
+    memo, most = subwords._Memo(ranks), 0
+    for start in range(0, len(words), 50):
+        some = words[start : start + 50]
+        got = subwords._encode_batch(pa.array([[w] for w in some]), memo)
+        assert got.to_pylist() == want[start : start + 50]
+        most = max(most, len(memo.known))
+        assert memo.size == sum(subwords.MEMO_ENTRY + len(w) + 8 * len(t) for w, t in memo.known.items())
+        # One piece may be larger than all that is remembered, then it is alone.
+        assert memo.size <= 20_000 or len(memo.known) == 1
+    assert 50 < most < 100
+
+
 @pytest.mark.parametrize("partial", ["keep", "drop"])
 @pytest.mark.parametrize("window, stride", [(8, 2), (2, 3), (3, 1)])
 def test_windows_follow_the_groups_of_an_array(spark, partial, window, stride):
