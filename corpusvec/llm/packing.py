@@ -19,6 +19,8 @@ from corpusvec.llm.common import slices_of, texts_of
 from corpusvec.session import materialize
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
+#: Bytes of text that a worker encodes at once; what it needs meanwhile is a multiple of this.
+ENCODED_BYTES = 1 << 21
 #: Rows a window task should hold of one length.
 BUCKET_ROWS = 1 << 14
 #: Groups of lengths in a program, and how often it is solved on what the last rounding left.
@@ -33,7 +35,7 @@ def encoded_pieces(docs: DataFrame, tokenizer_path: str, size: int) -> DataFrame
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = tokens.memo(tokenizer_path)
-        for rows in slices_of(batches):
+        for rows in slices_of(batches, limit=ENCODED_BYTES):
             out = []
             every, before = memo.ids(rows.column("text"))
             for doc_id, (first, last) in zip(rows.column("doc_id").to_pylist(), pairwise(before.tolist()), strict=True):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Callable, Iterable
 from itertools import pairwise
 
 import numpy as np
@@ -11,9 +12,9 @@ import pyarrow.compute as pc
 
 from corpusvec.llm.common import held
 
-#: Odd words, and parts of words, whose ids a Python worker keeps before it
-#: starts anew.
-MEMO, PARTS = 1 << 17, 1 << 19
+#: Bytes of odd words, and of parts of words, that a Python worker remembers in
+#: each of two generations, and what a string takes besides itself and its ids.
+MEMO_BYTES, MEMO_ENTRY = 1 << 24, 160
 
 
 def spaced(text: str) -> list[str]:
@@ -38,13 +39,11 @@ def load(path: str):
     return Tokenizer.from_file(path)
 
 
-def plain_tokenizer(path: str):
-    """The same model for pre-tokens in their normal form that spaces separate."""
-    from tokenizers import Tokenizer, normalizers, pre_tokenizers
+def plain_tokenizer(whole):
+    """The same model, held once, for pre-tokens in their normal form that spaces separate."""
+    from tokenizers import Tokenizer, pre_tokenizers
 
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.normalizer = normalizers.Sequence([])
+    tokenizer = Tokenizer(whole.model)
     tokenizer.pre_tokenizer = pre_tokenizers.Sequence(
         [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
     )
@@ -77,8 +76,34 @@ def gathered(ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarr
     return ids[np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))]
 
 
+class Known:
+    """Ids of the strings that a worker met lately, of about twice `MEMO_BYTES` at most.
+
+    A full generation becomes the older one, from which strings that are met
+    again come back; the older one before it is forgotten.
+    """
+
+    def __init__(self, encode: Callable[[list[str]], Iterable[bytes]]) -> None:
+        self.encode, self.size = encode, 0
+        self.young: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def ids(self, strings: list[str]) -> list[bytes]:
+        if self.size > MEMO_BYTES:
+            self.young, self.older, self.size = {}, self.young, 0
+        young, older = self.young, self.older
+        missing = [s for s in strings if s not in young]
+        young.update((s, older[s]) for s in missing if s in older)
+        new = [s for s in missing if s not in young]
+        for start in range(0, len(new), 4096):
+            some = new[start : start + 4096]
+            young.update(zip(some, self.encode(some), strict=True))
+        self.size += sum(MEMO_ENTRY + len(s) + len(young[s]) for s in missing)
+        return [young[s] for s in strings]
+
+
 class Memo:
-    """Ids of the parts of words as little-endian unsigned 32-bit numbers, computed once a worker.
+    """Ids of the parts of words as little-endian unsigned 32-bit numbers, remembered by a worker.
 
     The tokenizer's own splitting is its dearest part. A word of plain letters
     and closing punctuation is split by Arrow, and only its parts are looked up;
@@ -86,39 +111,24 @@ class Memo:
     """
 
     def __init__(self, path: str) -> None:
-        self.whole, self.plain = load(path), plain_tokenizer(path)
+        self.whole = load(path)
+        self.plain = plain_tokenizer(self.whole)
         vocabulary = self.plain.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         for token, i in vocabulary.items():
             self.ends[i] = token.endswith("</w>")
-        self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-
-    def ids_of_parts(self, parts: list[str]) -> list[bytes]:
-        if len(self.parts) > PARTS:
-            self.parts.clear()
-        known = self.parts
-        known[""] = b""
-        new = [p for p in parts if p not in known]
-        for start in range(0, len(new), 4096):
-            some = new[start : start + 4096]
-            ids = np.array(self.plain.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, dtype="<u4")
-            # The last token of each part says that it is the last.
-            cuts = [0, *(4 * (np.nonzero(self.ends[ids])[0] + 1)).tolist()]
-            raw = ids.tobytes()
-            known.update(zip(some, (raw[i:j] for i, j in pairwise(cuts)), strict=True))
-        return [known[p] for p in parts]
-
-    def ids_of_words(self, words: list[str]) -> list[bytes]:
-        if len(self.words) > MEMO:
-            self.words.clear()
-        known = self.words
-        new = [w for w in words if w not in known]
-        for start in range(0, len(new), 4096):
-            some = new[start : start + 4096]
-            coded = self.whole.encode_batch_fast(some, add_special_tokens=False)
-            known.update((w, np.array(c.ids, dtype="<u4").tobytes()) for w, c in zip(some, coded, strict=True))
-        return [known[w] for w in words]
+        self.words, self.parts = Known(self.encoded_words), Known(self.encoded_parts)
+
+    def encoded_parts(self, parts: list[str]) -> list[bytes]:
+        ids = np.array(self.plain.encode_batch_fast([" ".join(parts)], add_special_tokens=False)[0].ids, dtype="<u4")
+        # The last token of each part says that it is the last; an empty part has none.
+        cuts = [0, *(4 * (np.nonzero(self.ends[ids])[0] + 1)).tolist()]
+        raw = ids.tobytes()
+        coded = dict(zip(filter(None, parts), (raw[i:j] for i, j in pairwise(cuts)), strict=True))
+        return [coded.get(p, b"") for p in parts]
+
+    def encoded_words(self, words: list[str]) -> list[bytes]:
+        return [np.array(c.ids, dtype="<u4").tobytes() for c in self.whole.encode_batch_fast(words, add_special_tokens=False)]
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts end to end, and the number of ids before each text and after the last."""
@@ -130,9 +140,7 @@ class Memo:
         marks, own_marks = strings(pc.struct_field(split, "marks").fill_null(""))
         letters[odd] = len(own_letters) + len(own_marks) + np.arange(len(odd))
         marks += len(own_letters)
-        runs = Runs(
-            self.ids_of_parts(own_letters) + self.ids_of_parts(own_marks) + self.ids_of_words(distinct.take(pa.array(odd)).to_pylist())
-        )
+        runs = Runs(self.parts.ids(own_letters) + self.parts.ids(own_marks) + self.words.ids(distinct.take(pa.array(odd)).to_pylist()))
         # Each word is its letters, then its marks; an odd word has no marks.
         parts = np.stack((letters[word], marks[word]), axis=1)
         sizes = runs.sizes[parts]

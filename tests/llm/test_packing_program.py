@@ -3,9 +3,10 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
-from corpusvec.llm import packing
-from corpusvec.llm.queries import SEQUENCE, op4_best_fit_packing
+from corpusvec.llm import packing, tokens
+from corpusvec.llm.queries import SEQUENCE, op4_best_fit_packing, word_tokenizer
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -72,3 +73,26 @@ def test_odd_histograms():
     assert packing.pack({}, 8) == []
     assert sum(b.count for b in packing.pack({8: 5}, 8)) == 5
     assert sum(b.count for b in packing.pack({1: 17}, 8)) == math.ceil(17 / 8)
+
+
+def test_a_worker_remembers_bounded_bytes(monkeypatch):
+    monkeypatch.setattr(tokens, "MEMO_BYTES", 20_000)
+    memo, whole = tokens.Memo(word_tokenizer()), tokens.load(word_tokenizer())
+    texts = [f"word{'abcdefghij'[k % 10] * (k % 23)}x{k} plain{'qrstuvwxyz'[k // 60 % 10] * (k % 60)}, the end." for k in range(600)] + ["", " "]
+    each = 50
+    for start in range(0, len(texts), each):
+        some = texts[start : start + each]
+        ids, before = memo.ids(pa.array(some))
+        for k, text in enumerate(some):
+            assert ids[before[k] : before[k + 1]].tolist() == whole.encode(text, add_special_tokens=False).ids
+        for known in (memo.parts, memo.words):
+            # Two generations, each over its bound by what one call adds at most.
+            assert len(known.young) + len(known.older) <= 2 * (20_000 // tokens.MEMO_ENTRY + 2 * each + 20)
+    assert "the" in memo.parts.young | memo.parts.older and "wordx0" not in memo.words.young | memo.words.older
+    assert 50 < len(memo.words.older) and len(texts) > len(memo.words.young) + len(memo.words.older)
+
+
+def test_the_model_is_held_once():
+    memo = tokens.Memo(word_tokenizer())
+    assert memo.plain.get_vocab(with_added_tokens=False) == memo.whole.get_vocab(with_added_tokens=False)
+    assert memo.plain.get_added_tokens_decoder() == {} and len(memo.whole.get_added_tokens_decoder()) == 2
