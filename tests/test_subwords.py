@@ -239,3 +239,21 @@ def test_decoding_keeps_every_key(spark):
         subwords.decode_sequences(unknown, known, "k").collect()
     with pytest.raises(Exception, match="no such token"):
         subwords.decode_tokens(spark.createDataFrame([(999,)], "token_id int"), known).collect()
+
+
+@pytest.mark.parametrize("times", [1, 2, 9, 40])
+def test_the_driver_holds_no_more_pieces_than_a_round_may_fetch(spark, monkeypatch, times):
+    # The best pair is in nearly all pieces.
+    counts = {f"ab{a}{b}": 50 + k for k, (a, b) in enumerate((a, b) for a in "cdefgh" for b in "ijklmn")} | {"xy": 3, "uv": 2, "uvw": 1}
+    held = []
+
+    def merge(symbols, piece, frequency, *step):
+        held.append(len(frequency))
+        return merge_with_changes(symbols, piece, frequency, *step)
+
+    merge_with_changes = merges.merge_with_changes
+    monkeypatch.setattr(merges, "merge_with_changes", merge)
+    df = spark.createDataFrame(list(counts.items()), "word string, frequency long")
+    got = subwords.learn_vocabulary(df, times, 4, 7).where("token_id >= 256").orderBy("token_id").collect()
+    assert [bytes(r.token_bytes) for r in got] == learn_by_hand(counts, times)
+    assert max(held, default=0) <= 7
