@@ -1,15 +1,17 @@
 """What keeps queries in proportion to their input: no work done twice, no task for each small file."""
 
+import random
 import re
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from corpusvec import session
-from corpusvec.operators import positions, subwords, training, windows
+from corpusvec.operators import packed_groups, positions, subwords, training, windows
 from corpusvec.operators.subwords import vocabulary_from
 from corpusvec.plans import jobs
 from corpusvec.plans.queries import QUERIES
@@ -143,3 +145,32 @@ def test_training_in_parts_gives_the_same(monkeypatch, cached):
     monkeypatch.setattr(training, "SCORES", 1 << 14)
     got = training.train_tokens(tokens, options)
     assert np.allclose(got[1], want[1]) and np.allclose(got[2], want[2])
+
+
+def rows_of(df):
+    return sorted(map(repr, df.collect()))
+
+
+@pytest.mark.parametrize("packed", [7, 1 << 18])
+@pytest.mark.parametrize("kind", ["string", "bigint"])
+def test_indexes_of_rows_that_travel_packed(spark, monkeypatch, packed, kind):
+    """The same as by windows and a join, which move every row on its own."""
+    monkeypatch.setattr(packed_groups, "PACKED_ROWS", packed)
+    rng = random.Random(1)
+    words = ["a", "b", "é", "ß", "東", "Ä", "aa", "", "Z"]
+    rows = [(rng.choice([None, 0, 1, 2, 7]), k, rng.choice([None, *words])) for k in range(300)]
+    df = spark.createDataFrame(rows + rows[:40], "shard_id long, `row.index` long, word string").repartition(3)
+    if kind == "bigint":
+        df = df.withColumn("word", F.xxhash64("word") % 9)
+    order = W.partitionBy("shard_id").orderBy("word")
+    coded, index = windows.with_token_index(df, token="word"), windows.token_index(df, token="word")
+    want = df.withColumn("token_index", F.dense_rank().over(order) - 1)
+    want_index = df.select("shard_id", "word").distinct().withColumn("token_index", F.row_number().over(order) - 1)
+    assert coded.dtypes == want.dtypes and rows_of(coded) == rows_of(want)
+    assert index.dtypes == want_index.dtypes and rows_of(index) == rows_of(want_index)
+    # An index may be missing for some rows, and be there twice for others.
+    table = want_index.where("token_index <> 2").unionByName(want_index.where("token_index = 1")).localCheckpoint()
+    held = want.drop("word").withColumn("token_index", F.expr("if(`row.index` % 11 = 0, null, token_index)")).localCheckpoint()
+    back, joined = windows.token_of_index(held, table), held.join(table, ["shard_id", "token_index"]).drop("token_index")
+    assert back.dtypes == joined.dtypes and rows_of(back) == rows_of(joined)
+    assert not any(re.search("Window|Join|Distinct", plan(x)) for x in (coded, index, back))
