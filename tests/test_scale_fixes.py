@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from corpusvec import session
+from corpusvec.functions import text
 from corpusvec.operators import packed_groups, positions, subwords, training, windows
 from corpusvec.operators.subwords import vocabulary_from
 from corpusvec.plans import jobs
@@ -174,3 +175,26 @@ def test_indexes_of_rows_that_travel_packed(spark, monkeypatch, packed, kind):
     back, joined = windows.token_of_index(held, table), held.join(table, ["shard_id", "token_index"]).drop("token_index")
     assert back.dtypes == joined.dtypes and rows_of(back) == rows_of(joined)
     assert not any(re.search("Window|Join|Distinct", plan(x)) for x in (coded, index, back))
+
+
+@pytest.mark.parametrize("size", [1, 1 << 19])
+def test_words_of_texts_are_counted_without_patterns(spark, monkeypatch, size):
+    monkeypatch.setattr(positions, "BATCH_BYTES", size)
+    docs = spark.createDataFrame([*enumerate(TEXTS), (-5, " ab"), (900, "z 1 ")], "doc_id long, text string").repartition(3)
+    got = positions._with_word_offsets(docs)
+    words = text.space_words(F.col("text"))
+    counted = docs.withColumns({"before": F.size(words).cast("long"), "kept_before": F.size(F.filter(words, text.has_letters)).cast("long")})
+    want = positions.with_offsets(counted, "doc_id", ["before", "kept_before"])
+    assert rows_of(got) == rows_of(want)
+    assert not re.search("rlike|split", plan(got), re.I)
+    assert positions.lettered_words(docs) == counted.agg(F.sum("kept_before")).first()[0]
+    assert positions.lettered_words(docs.limit(0)) == 0
+
+
+def test_rows_of_windows_travel_packed(spark):
+    df = spark.range(90).selectExpr("id % 3 shard_id", "id row_index", "0 i", "cast(id % 7 as int) token_id").repartition(4)
+    got = windows.token_windows(df, ["row_index", "i"])
+    held = windows.shard_sequences(df, ["row_index", "i"], "token_id")
+    want = held.select("shard_id", F.inline(windows.sliding_windows(F.col("tokens"), 8, 2)))
+    assert rows_of(got) == rows_of(want)
+    assert plan(got).count("MapInArrow") == 1

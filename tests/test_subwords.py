@@ -257,3 +257,22 @@ def test_the_driver_holds_no_more_pieces_than_a_round_may_fetch(spark, monkeypat
     got = subwords.learn_vocabulary(df, times, 4, 7).where("token_id >= 256").orderBy("token_id").collect()
     assert [bytes(r.token_bytes) for r in got] == learn_by_hand(counts, times)
     assert max(held, default=0) <= 7
+
+
+@pytest.mark.parametrize("dense", [1024, 0])
+def test_many_pieces_are_merged_at_once(ranks, monkeypatch, dense):
+    """Any vocabulary, also one whose merges come before their parts; a heap is for long pieces."""
+    rng = random.Random(9)
+    shuffled = dict(zip(ranks, rng.sample(range(1000), len(ranks))))
+    pieces = ["".join(rng.choice("abcdx") for _ in range(rng.randrange(1, 40))) for _ in range(500)]
+    pieces = [*dict.fromkeys(pieces), "", "é東", "ab" * 32, "ab" * 33 + "x"]
+    monkeypatch.setattr(subwords, "DENSE_TOKENS", dense)
+    for known in (ranks, shuffled):
+        want = [encode_by_hand(p.encode(), known) if p else [] for p in pieces]
+        alone = []
+        monkeypatch.setattr(subwords, "_merge_piece", lambda p, r: alone.append(p) or want[pieces.index(p.decode())])
+        memo = subwords._Memo(known)
+        assert [t.tolist() for t in memo.tokens(pieces)] == want
+        assert len(alone) < 4 if dense else len(alone) > 400
+        again = memo.tokens(pieces[::-1])
+        assert [t.tolist() for t in again] == want[::-1]
