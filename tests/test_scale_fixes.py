@@ -189,6 +189,10 @@ def test_words_of_texts_are_counted_without_patterns(spark, monkeypatch, size):
     assert not re.search("rlike|split", plan(got), re.I)
     assert positions.lettered_words(docs) == counted.agg(F.sum("kept_before")).first()[0]
     assert positions.lettered_words(docs.limit(0)) == 0
+    # The least and greatest key are looked for without counting words.
+    texts = spark.createDataFrame([(3, "a b"), (4, None)], "doc_id long, text string")
+    failing = texts.withColumn("text", F.raise_error(F.lit("text was read")).cast("string"))
+    assert positions._with_word_offsets(failing).columns == ["doc_id", "text", "before", "kept_before"]
 
 
 def test_rows_of_windows_travel_packed(spark):
